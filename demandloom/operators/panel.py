@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,13 +94,9 @@ def join_daily(sales: DataFrame, calendar: DataFrame, prices: DataFrame) -> Data
     )
 
 
-def duplicate_keys(daily: DataFrame) -> DataFrame:
-    """Series-days that occur more than once."""
-    return (
-        daily.groupBy("series_id", "day_num")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .where(F.col("copies") > 1)
-    )
+def duplicate_keys(frame: DataFrame, keys: Sequence[str] = ("series_id", "day_num")) -> DataFrame:
+    """Keys that occur more than once; add ``limit(1)`` to merely test for one."""
+    return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
 def validate_panel(daily: DataFrame) -> DataFrame:

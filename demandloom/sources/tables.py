@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -50,14 +49,17 @@ def write_table(
     return {"path": path, "rows": seen.get["rows"]}
 
 
+_LOCAL_FOLDER: list[str] = []
+
+
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a temporary one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """Shared folder named by the cluster; a temporary one only where none is set (tests)."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    local = os.path.join(tempfile.gettempdir(), "demandloom-staging")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    if not _LOCAL_FOLDER:
+        _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="spark-demandloom-"))
+    return _LOCAL_FOLDER[0]
 
 
 def staged(frame: DataFrame, label: str) -> DataFrame:
