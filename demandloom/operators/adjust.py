@@ -87,7 +87,7 @@ def _first_best(scores: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     ranked = F.struct(F.round("wape", 10).alias("_w"), *order)
     wanted = [c for c in scores.columns if c not in keys]
     best = scores.groupBy(*keys).agg(F.min_by(F.struct(*wanted), ranked).alias("_best"))
-    return best.select(*keys, "_best.*")
+    return best.where(F.col("_best").isNotNull()).select(*keys, "_best.*")
 
 
 def threshold_scale_search(frame: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

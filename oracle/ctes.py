@@ -38,7 +38,7 @@ def build(select: str, *needs: str, rounded: Sequence[str] = ()) -> str:
         visit(need)
     head = ", ".join(f"{name} AS MATERIALIZED ({CTES[name][0]})" for name in ordered)
     if rounded:
-        fixed = ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in rounded)
+        fixed = ", ".join(f"round({c} + 1e-9, 6) + 0.0 AS {c}" for c in rounded)
         select = f"SELECT * REPLACE ({fixed}) FROM ({select})"
     return f"WITH RECURSIVE {head} {select}" if head else select
 
@@ -276,7 +276,7 @@ SELECT *, abs(bias) <= 0.05 AND coverage BETWEEN 0.85 AND 0.95 AND max_fold_degr
 # Inventory.
 cte("blocks", """
 SELECT model_name, fold_origin, series_id, list(residual ORDER BY horizon) AS block
-FROM (SELECT model_name, fold_origin, series_id, h AS horizon, coalesce(r, 0.0) AS residual
+FROM (SELECT k.*, h AS horizon, coalesce(r, 0.0) AS residual
       FROM (SELECT DISTINCT model_name, fold_origin, series_id FROM backtests) k CROSS JOIN steps
       LEFT JOIN (SELECT model_name, fold_origin, series_id, horizon, avg(target - yhat) AS r FROM backtests GROUP BY ALL) v
            ON v.model_name = k.model_name AND v.fold_origin = k.fold_origin AND v.series_id = k.series_id AND v.horizon = h)
