@@ -50,10 +50,8 @@ def baseline_points(features: DataFrame, models: Sequence[str] = BASELINES) -> D
 def training_rows(frame: DataFrame, folds: Sequence[int]) -> DataFrame:
     """Repeat each row for every fold whose origin comes after its target was known."""
     known_by = F.col("origin_day") + F.col("horizon")
-    usable = F.filter(
-        F.array(*[F.lit(o) for o in folds]), lambda o: (F.col("origin_day") < o) & (known_by <= o)
-    )
-    return frame.withColumn("fold_origin", F.explode(usable))
+    usable = [F.when((F.col("origin_day") < o) & (known_by <= o), F.lit(o)) for o in folds]
+    return frame.withColumn("fold_origin", F.explode(F.array(*usable))).where(F.col("fold_origin").isNotNull())
 
 
 def evaluation_rows(frame: DataFrame, folds: Sequence[int]) -> DataFrame:
@@ -83,14 +81,14 @@ def validation_split(train: DataFrame) -> tuple[DataFrame, DataFrame]:
 def fit_calibration(points: DataFrame, by: Sequence[str] = FORECAST_KEYS) -> DataFrame:
     """Residual quantiles per horizon, and over all horizons (horizon null) as fallback."""
     by = list(by)
-    residual = (F.col("target") - F.col("yhat")).alias("residual")
-    per_horizon = points.select(*by, "horizon", residual).groupBy(*by, "horizon", "residual").agg(
-        F.count(F.lit(1)).alias("copies")
+    # Horizon 0 stands for all horizons; every row counts once in each.
+    residuals = points.select(
+        *by,
+        F.explode(F.array(F.col("horizon"), F.lit(0))).alias("horizon"),
+        (F.col("target") - F.col("yhat")).alias("residual"),
     )
-    overall = per_horizon.groupBy(*by, "residual").agg(F.sum("copies").alias("copies"))
-    everything = per_horizon.unionByName(overall.withColumn("horizon", F.lit(0)))
     levels = {"o05": 0.05, "o50": 0.5, "o95": 0.95}
-    offsets = exact_quantiles(everything, [*by, "horizon"], "residual", levels, weight="copies")
+    offsets = exact_quantiles(residuals, [*by, "horizon"], "residual", levels)
     return offsets.withColumn("horizon", F.when(F.col("horizon") != 0, F.col("horizon")))
 
 

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.exprs import floored, hash_number, non_negative, rate, text_hash
-from demandloom.operators.quantiles import quantile_of_array
 from demandloom.operators.sampling import enumerate_rows
 from demandloom.settings import ReplayPolicy
 
+# Gaps below this are rounding noise of the level and trigger no order.
+MIN_ORDER = 1e-9
 BLOCK_KEYS = ("model_name", "fold_origin", "series_id")
 
 
@@ -72,39 +75,43 @@ def sampled_paths(blocks: DataFrame, draws: Sequence[int], paths: int, seed: int
     )
 
 
-def protection_demand(point: Column, sample: Column, days: int, block_size: int) -> Column:
-    """Total demand over the protection window for every sampled path.
-
-    Days past the end of the window count nothing; residuals repeat when the
-    window is longer than a block.
-    """
-
-    def total(block: Column) -> Column:
-        summed = F.lit(0.0)
-        for j in range(days):
-            summed = summed + non_negative(F.get(point, F.lit(j)) + F.get(block, F.lit(j % block_size)))
-        return summed
-
-    return F.transform(sample, total)
-
-
-def order_up_to(
-    windows: DataFrame, samples: DataFrame, max_days: int, block_size: int
-) -> DataFrame:
+def order_up_to(windows: DataFrame, samples: DataFrame) -> DataFrame:
     """Level per row of ``windows`` (model_name, draw, point array, service_level).
 
-    The sample table is small and fixed in size, so it is broadcast and the work
-    is one independent pass over the windows. Without residuals the level is the
-    plain forecast sum; an empty window needs nothing.
+    For every path the forecasts of the window and the path's residuals are
+    added, cut at zero and summed; the level is the service quantile over the
+    paths. Residuals repeat when a window is longer than a block. Without
+    residuals the level is the plain forecast sum; an empty window needs nothing.
+
+    Each window costs paths x days additions, which array lambdas would
+    interpret one by one, so the arithmetic runs on Arrow batches. The sample
+    (models x draws x paths blocks, fixed by the parameters) ships with the
+    function; the windows are partitioned by Spark and never leave the tasks.
     """
-    joined = windows.join(F.broadcast(samples), ["model_name", "draw"], "left")
-    simulated = quantile_of_array(
-        protection_demand(F.col("point"), F.col("sample"), max_days, block_size), F.col("service_level")
-    )
-    plain = F.aggregate("point", F.lit(0.0), lambda a, x: a + x)
-    return joined.select(
-        *windows.columns, F.when(F.size("point") == 0, 0.0).otherwise(F.coalesce(simulated, plain)).alias("level")
-    )
+    drawn = {(r["model_name"], r["draw"]): np.array(r["sample"], dtype=float) for r in samples.collect()}
+
+    @F.pandas_udf("double")
+    def level(model: pd.Series, draw: pd.Series, point: pd.Series, service: pd.Series) -> pd.Series:
+        days = point.map(len)
+        result = pd.Series(0.0, index=point.index)
+        for (name, day, length, share), rows in point.groupby([model, draw, days, service]):
+            if length == 0:
+                continue
+            forecast = np.stack(rows.to_numpy()).astype(float)
+            sample = drawn.get((name, day))
+            if sample is None:
+                result.loc[rows.index] = forecast.sum(axis=1)
+                continue
+            errors = np.take(sample, np.arange(length) % sample.shape[1], axis=1)
+            for start in range(0, len(rows), 128):
+                chunk = forecast[start : start + 128]
+                totals = np.zeros((len(chunk), len(errors)))
+                for j in range(length):
+                    totals += np.maximum(chunk[:, j, None] + errors[None, :, j], 0.0)
+                result.loc[rows.index[start : start + 128]] = np.quantile(totals, share, axis=1)
+        return result
+
+    return windows.withColumn("level", level("model_name", "draw", "point", "service_level"))
 
 
 def _series_days(forecasts: DataFrame) -> DataFrame:
@@ -120,7 +127,6 @@ def replay_levels(
     paths = policies[0].paths
     if any(p.paths != paths for p in policies):
         raise ValueError("policies replayed together must use the same number of paths")
-    longest = max(p.protection_days for p in policies)
     draws = sorted({d for p in policies for d in range(0, horizon, p.review_days)})
     reviews = F.filter(
         F.sequence(F.lit(0), F.size("days") - 1), lambda d: d % F.col("review_days") == 0
@@ -141,7 +147,7 @@ def replay_levels(
         )
     )
     samples = sampled_paths(blocks, draws, paths, seed)
-    return order_up_to(windows, samples, longest, horizon).select(
+    return order_up_to(windows, samples).select(
         "policy", "model_name", "series_id", F.col("draw").alias("day_index"), "level"
     )
 
@@ -178,7 +184,8 @@ def replay_policy(forecasts: DataFrame, levels: DataFrame, policies: Sequence[Re
         left = stocked - sold
         position = left + F.aggregate(still_open, F.lit(0.0), lambda a, x: a + x)
         level = F.when(s["day"] % F.col("review_days") == 0, F.try_element_at("levels", s["day"]))
-        ordered = F.coalesce(non_negative(level - position), F.lit(0.0))
+        gap = level - position
+        ordered = F.when(gap > MIN_ORDER, gap).otherwise(F.lit(0.0))
         entry = F.struct(
             d["target_date"].alias("target_date"),
             d["target"].alias("demand"),
@@ -242,7 +249,7 @@ def policy_comparison(kpis: DataFrame) -> DataFrame:
     )
 
 
-def recommendations(forecasts: DataFrame, blocks: DataFrame, policy: ReplayPolicy, horizon: int, seed: int) -> DataFrame:
+def recommendations(forecasts: DataFrame, blocks: DataFrame, policy: ReplayPolicy, seed: int) -> DataFrame:
     """Reorder point, order-up-to level and suggested order per series.
 
     Stock on hand is not observed and is set to the reorder point.
@@ -265,7 +272,7 @@ def recommendations(forecasts: DataFrame, blocks: DataFrame, policy: ReplayPolic
         F.transform(F.slice("days", F.lit(1), F.col("span")), lambda s: s["yhat"]).alias("point"),
     )
     samples = sampled_paths(blocks, [0], policy.paths, seed)
-    levels = order_up_to(windows, samples, policy.protection_days, horizon)
+    levels = order_up_to(windows, samples)
     both = levels.groupBy("model_name", "series_id", "as_of_date").agg(
         F.max(F.when(F.col("what") == "reorder_point", F.col("level"))).alias("reorder_point"),
         F.max(F.when(F.col("what") == "order_up_to", F.col("level"))).alias("order_up_to"),

@@ -67,9 +67,14 @@ def numeric_features(frame: DataFrame) -> list[str]:
     return [c for c in frame.columns if c not in NOT_FEATURES]
 
 
-def as_number(column: str) -> Column:
-    """Number or 0: unparsable and missing values both become 0."""
-    return F.coalesce(F.col(column).try_cast("double"), F.lit(0.0))
+def as_number(column: str, damped: bool = False) -> Column:
+    """Number or 0: unparsable and missing values both become 0.
+
+    ``damped`` takes the signed logarithm, which keeps log-link fits stable when
+    prices and day numbers are thousands of times larger than rates.
+    """
+    value = F.coalesce(F.col(column).try_cast("double"), F.lit(0.0))
+    return F.signum(value) * F.log1p(F.abs(value)) if damped else value
 
 
 @dataclass
@@ -89,6 +94,10 @@ class DirectForecaster:
     factor: float = 1.0
     calibration: DataFrame | None = None
 
+    @property
+    def linear(self) -> bool:
+        return self.kind in ("tweedie", "poisson", "huber")
+
     def _learner(self):
         common = {"featuresCol": "features", "labelCol": "target", "predictionCol": "_raw"}
         glm = {"linkPower": 0.0, "regParam": 0.01, "maxIter": 15}
@@ -114,7 +123,7 @@ class DirectForecaster:
     def vectors(self, frame: DataFrame) -> DataFrame:
         """Keys, target and the assembled feature vector; other columns travel along."""
         encoded = encode_categories(frame.withColumns({f"_k_{c}": F.col(c) for c in SERIES_KEYS}), self.dictionary)
-        ready = encoded.withColumns({f"_x_{c}": as_number(c) for c in self.features})
+        ready = encoded.withColumns({f"_x_{c}": as_number(c, self.linear) for c in self.features})
         assembled = VectorAssembler(inputCols=[f"_x_{c}" for c in self.features], outputCol="features").transform(ready)
         originals = {c: F.col(f"_k_{c}") for c in SERIES_KEYS}
         return assembled.withColumns(originals).drop(
@@ -126,8 +135,11 @@ class DirectForecaster:
             raise ValueError("training data must contain target")
         self.features = numeric_features(train)
         self.dictionary = staged(fit_categories(train), "categories")
-        # The fit reads its input once per iteration: materialise the vectors.
-        self.model = self._learner().fit(staged(self.vectors(train).select("features", "target"), "vectors"))
+        # The fit reads its input once per iteration: materialise the vectors, and
+        # keep what fits in memory next to the tasks while it runs.
+        vectors = staged(self.vectors(train).select("features", "target"), "vectors").persist()
+        self.model = self._learner().fit(vectors)
+        vectors.unpersist()
         return self
 
     def raw(self, frame: DataFrame) -> DataFrame:
@@ -165,7 +177,7 @@ class DirectForecaster:
         """Additive attribution of a linear learner on its link scale."""
         weights, intercept = self.coefficients()
         encoded = encode_categories(frame, self.dictionary).select(
-            "series_id", *[as_number(c).alias(c) for c in self.features]
+            "series_id", *[as_number(c, self.linear).alias(c) for c in self.features]
         )
         return linear_attribution(encoded, weights, intercept)
 

@@ -46,15 +46,12 @@ def normalize_sales(wide: DataFrame, cfg: Settings) -> DataFrame:
 
 
 def widen_sales(daily: DataFrame, last_day: int) -> DataFrame:
-    """Inverse of ``normalize_sales``: one row per series, one integer column per day."""
-    packed = daily.groupBy(*SALES_IDENTIFIERS).agg(
-        F.map_from_entries(F.collect_list(F.struct("day_num", F.col("units").cast("int")))).alias("by_day")
+    """Inverse of ``normalize_sales`` for a dense panel starting at day 1: one integer column per day."""
+    day = F.struct("day_num", F.col("units").cast("int").alias("units"))
+    packed = daily.groupBy(*SALES_IDENTIFIERS).agg(F.array_sort(F.collect_list(day)).alias("days"))
+    return packed.select(
+        *SALES_IDENTIFIERS, *[F.get("days", F.lit(i - 1))["units"].alias(f"d_{i}") for i in range(1, last_day + 1)]
     )
-    dense = packed.select(
-        *SALES_IDENTIFIERS,
-        F.transform(F.sequence(F.lit(1), F.lit(last_day)), lambda d: F.try_element_at("by_day", d)).alias("u"),
-    )
-    return dense.select(*SALES_IDENTIFIERS, *[F.get("u", F.lit(i - 1)).alias(f"d_{i}") for i in range(1, last_day + 1)])
 
 
 def densify(sales: DataFrame, first_day: int, last_day: int) -> DataFrame:

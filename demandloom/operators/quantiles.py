@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandloom.sources.tables import staged
+
 SPLITS = 64
 
 
@@ -25,65 +27,67 @@ def exact_quantiles(
 
     The built-in exact percentile keeps every distinct value of a group in one
     task. Here values are first collapsed to (group, value, count) with map-side
-    combination, cut into slices of about equal numbers of distinct values, and
-    only the slice that contains a wanted rank is ordered. All later steps read
-    the same collapsed shuffle output.
+    combination (a written table, as three passes follow), cut into slices of
+    about equal numbers of distinct values, and only the slices that contain a
+    wanted rank are ordered. A group may hold any
+    share of the rows; the groups themselves are a report grain (models, folds,
+    horizons, categories), so the two per-group tables that are broadcast have
+    at most ``SPLITS`` rows or numbers for each of them.
     """
     keys = list(keys)
     copies = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    tallied = (
+    tallied = staged(
         frame.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).alias("_v"))
-        .agg(copies.cast("bigint").alias("_n"))
+        .agg(copies.cast("bigint").alias("_n")),
+        "tally",
     )
-    # One row per group: bounded by the number of groups the caller asks for.
     cuts = tallied.groupBy(*keys).agg(
         F.percentile_approx("_v", [i / SPLITS for i in range(1, SPLITS)], 10000).alias("_cuts"),
         F.sum("_n").alias("_total"),
     )
-    sliced = _attach(tallied, cuts.select(*keys, "_cuts"), keys).select(
-        *keys, "_v", "_n", F.size(F.filter("_cuts", lambda c: c <= F.col("_v"))).alias("_slice")
+    sliced = _attach(tallied, cuts, keys).select(
+        *keys, "_v", "_n", "_total", F.size(F.filter("_cuts", lambda c: c <= F.col("_v"))).alias("_slice")
     )
-    sizes = sliced.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_in_slice"))
-    earlier = Window.partitionBy(*_some(keys)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # At most SPLITS rows per group from here on, until the slices are revisited.
+    sizes = sliced.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_in_slice"), F.max("_total").alias("_total"))
+    earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     bounds = sizes.withColumn("_start", F.coalesce(F.sum("_in_slice").over(earlier), F.lit(0)))
-    wanted = cuts.select(
-        *keys, F.explode(F.array(*[_ranks(n, p, discrete) for n, p in levels.items()])).alias("_want")
-    ).select(*keys, "_want.*")
-    wanted = wanted.select(
-        *keys, "_name", "_fraction", F.explode(F.array_distinct(F.array("_low", "_high"))).alias("_rank"), "_low"
-    )
-    located = _attach(bounds, wanted, keys).where(
-        (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_in_slice"))
-    )
-    needed = located.select(*keys, "_slice", "_start").distinct()
-    inside = Window.partitionBy(*keys, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = sliced.join(needed, [*keys, "_slice"]).select(
-        *keys,
-        "_v",
-        (F.col("_start") + F.sum("_n").over(inside) - F.col("_n")).alias("_from"),
-        (F.col("_start") + F.sum("_n").over(inside)).alias("_to"),
-    )
-    hits = _attach(ranked, wanted, keys).where(
-        (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to"))
+    wants = F.array(*[_ranks(name, level, discrete) for name, level in levels.items()])
+    here = F.filter(wants, lambda w: _meets(w, F.col("_start"), F.col("_start") + F.col("_in_slice")))
+    located = bounds.select(*keys, "_slice", "_start", here.alias("_wants")).where(F.size("_wants") > 0)
+    inside = Window.partitionBy(*keys, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = (
+        sliced.join(F.broadcast(located), [*keys, "_slice"])
+        .withColumn("_to", F.col("_start") + F.sum("_n").over(inside))
+        .withColumn("_from", F.col("_to") - F.col("_n"))
     )
+    hit = F.filter("_wants", lambda w: _meets(w, F.col("_from"), F.col("_to")))
+    hits = placed.select(*keys, "_v", "_from", "_to", F.explode(hit).alias("_want"))
     columns = []
     for name in levels:
-        mine = F.col("_name") == name
-        low = F.max(F.when(mine & (F.col("_rank") == F.col("_low")), F.col("_v")))
-        high = F.max(F.when(mine, F.col("_v")))
-        share = F.max(F.when(mine, F.col("_fraction")))
+        mine = F.col("_want._name") == name
+        low = F.max(F.when(mine & _holds("_low"), F.col("_v")))
+        high = F.max(F.when(mine & _holds("_high"), F.col("_v")))
+        share = F.max(F.when(mine, F.col("_want._fraction")))
         columns.append((low + (high - low) * share).alias(name))
     return hits.groupBy(*keys).agg(*columns)
 
 
-def _some(keys: list[str]) -> list[str | Column]:
-    return keys or [F.lit(0)]
+def _attach(left: DataFrame, per_group: DataFrame, keys: list[str]) -> DataFrame:
+    """Join with a table of one row per group."""
+    return left.join(F.broadcast(per_group), keys) if keys else left.crossJoin(F.broadcast(per_group))
 
 
-def _attach(left: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Join with a frame that holds a handful of rows per group."""
-    return left.join(small, keys) if keys else left.crossJoin(F.broadcast(small))
+def _meets(want: Column, start: Column, end: Column) -> Column:
+    """Whether one of the two wanted ranks lies in [start, end)."""
+    low, high = want["_low"], want["_high"]
+    return ((low >= start) & (low < end)) | ((high >= start) & (high < end))
+
+
+def _holds(rank: str) -> Column:
+    wanted = F.col("_want")[rank]
+    return (wanted >= F.col("_from")) & (wanted < F.col("_to"))
 
 
 def _ranks(name: str, level: float, discrete: bool) -> Column:
@@ -100,12 +104,3 @@ def _ranks(name: str, level: float, discrete: bool) -> Column:
         high.cast("bigint").alias("_high"),
         fraction.cast("double").alias("_fraction"),
     )
-
-
-def quantile_of_array(values: Column, level: Column) -> Column:
-    """Linearly interpolated quantile of one array column (bounded length)."""
-    ordered = F.sort_array(values)
-    position = level * (F.size(values) - 1)
-    low = F.floor(position).cast("int")
-    below, above = F.get(ordered, low), F.get(ordered, F.ceil(position).cast("int"))
-    return below + (above - below) * (position - low)

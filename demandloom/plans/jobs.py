@@ -259,7 +259,7 @@ def run_inventory(spark: SparkSession, lake: str, cfg: Settings, run_id: str, fm
     stored = read_table(spark, lake, "gold", "inventory_daily", fmt)
     kpis = write_table(stamped(inventory.inventory_kpis(stored), run_id=run_id), lake, "gold", "inventory_kpis", fmt=fmt)
     advice = inventory.recommendations(
-        forecasts, blocks.where(F.col("model_name") == winner), cfg.policy, cfg.horizon, cfg.seed
+        forecasts, blocks.where(F.col("model_name") == winner), cfg.policy, cfg.seed
     )
     written = write_table(
         contracts.require_exact_columns(stamped(advice, run_id=run_id), contracts.RECOMMENDATION_COLUMNS),

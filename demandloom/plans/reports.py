@@ -51,7 +51,7 @@ def tidy(frame: DataFrame) -> DataFrame:
     doubles = [f.name for f in frame.schema.fields if isinstance(f.dataType, T.DoubleType)]
     # The shift moves exact ties off the rounding boundary, where engines differ;
     # adding zero turns a rounded negative zero into zero.
-    return frame.withColumns({c: F.round(F.col(c) + F.lit(1e-9), 6) + F.lit(0.0) for c in doubles})
+    return frame.withColumns({c: F.round(F.col(c) + F.lit(1.37e-9), 6) + F.lit(0.0) for c in doubles})
 
 
 # Panel ---------------------------------------------------------------------
@@ -547,7 +547,7 @@ def what_if_policies(s: Stages) -> DataFrame:
 
 def _recommended(s: Stages) -> DataFrame:
     winner_blocks = _blocks(s).where(F.col("model_name") == "moving_average")
-    return inventory.recommendations(s.forecasts(), winner_blocks, POLICY, s.cfg.horizon, s.cfg.seed)
+    return inventory.recommendations(s.forecasts(), winner_blocks, POLICY, s.cfg.seed)
 
 
 @report

@@ -38,7 +38,7 @@ def build(select: str, *needs: str, rounded: Sequence[str] = ()) -> str:
         visit(need)
     head = ", ".join(f"{name} AS MATERIALIZED ({CTES[name][0]})" for name in ordered)
     if rounded:
-        fixed = ", ".join(f"round({c} + 1e-9, 6) + 0.0 AS {c}" for c in rounded)
+        fixed = ", ".join(f"round({c} + 1.37e-9, 6) + 0.0 AS {c}" for c in rounded)
         select = f"SELECT * REPLACE ({fixed}) FROM ({select})"
     return f"WITH RECURSIVE {head} {select}" if head else select
 
@@ -330,7 +330,7 @@ FROM levels_{_kind} JOIN policy_{_kind} USING (policy) WHERE day_index = 0
 UNION ALL
 SELECT policy, model_name, series_id, day_index, target_date, demand, forecast, unit_price, arrivals, sales,
        stocked - sales, position, level, ordered, list_append(pending[2:], ordered)
-FROM (SELECT *, coalesce(greatest(level - position, 0.0), 0.0) AS ordered
+FROM (SELECT *, CASE WHEN level - position > 1e-9 THEN level - position ELSE 0.0 END AS ordered
       FROM (SELECT *, stocked - sales + coalesce(list_sum(pending[2:]), 0.0) AS position
             FROM (SELECT r.policy, r.model_name, r.series_id, d.day_index, d.target_date, d.target AS demand,
                          d.yhat AS forecast, d.unit_price, r.pending[1] AS arrivals, r.pending,
