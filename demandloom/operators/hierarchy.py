@@ -124,15 +124,26 @@ def node_scales(nodes: DataFrame, origins: Sequence[int]) -> DataFrame:
     )
 
 
-def revenue_weights(scales: DataFrame) -> DataFrame:
-    """Node share of its level's revenue, each level weighing one twelfth.
+def recent_revenue(daily: DataFrame, origins: Sequence[int]) -> DataFrame:
+    """Total revenue of the weighting window per fold: one row per fold from one pass over recent days."""
+    day = F.col("day_num")
+    value = F.col("units") * F.coalesce("sell_price", F.lit(0.0))
+    totals = [
+        F.sum(F.when((day <= o) & (day > o - REVENUE_DAYS), value)).alias(f"_total_{o}") for o in origins
+    ]
+    rows = [F.struct(F.lit(o).alias("fold_origin"), F.col(f"_total_{o}").alias("total_revenue")) for o in origins]
+    recent = daily.where((day > min(origins) - REVENUE_DAYS) & (day <= max(origins)))
+    return recent.agg(*totals).select(F.inline(F.array(*rows)))
+
+
+def revenue_weights(scales: DataFrame, totals: DataFrame) -> DataFrame:
+    """Node share of the revenue, each level weighing one twelfth.
 
-    Level totals are joined back (twelve rows per fold) rather than taken from a
-    window, which would pull the millions of bottom nodes into one task.
+    Every level splits the same total, so the total comes from the bottom rows
+    and neither a window over a level nor a second roll-up is needed.
     """
-    totals = scales.groupBy("level", "fold_origin").agg(F.sum("node_revenue").alias("level_revenue"))
-    share = F.col("node_revenue") / floored(F.col("level_revenue")) / F.lit(len(HIERARCHY))
-    return scales.join(F.broadcast(totals), ["level", "fold_origin"]).withColumn("weight", share)
+    share = F.col("node_revenue") / floored(F.col("total_revenue")) / F.lit(len(HIERARCHY))
+    return scales.join(F.broadcast(totals), "fold_origin").withColumn("weight", share)
 
 
 def hierarchical_wrmsse(
@@ -151,7 +162,8 @@ def hierarchical_wrmsse(
         .groupBy("model_name", "fold_origin", "level", "level_name", "node_id")
         .agg(F.avg((F.col("target") - F.col("yhat")) ** 2).alias("mse"))
     )
-    weights = revenue_weights(node_scales(node_history(daily, max(origins)), origins))
+    scales = node_scales(node_history(daily, max(origins)), origins)
+    weights = revenue_weights(scales, recent_revenue(daily, origins))
     unusable = F.lit(0.0)
     if zero_scale == "inf":
         unusable = F.when(F.col("mse") > 0, F.lit(float("inf"))).otherwise(F.lit(0.0))

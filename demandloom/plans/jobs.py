@@ -285,10 +285,9 @@ def evaluate_stored(spark: SparkSession, lake: str, fmt: str = "parquet") -> dic
 
 def export_csv_sources(stages, root: str) -> dict[str, Sequence[str]]:
     """Write the panel as CSV sources (folders of part files) and return their required columns."""
-    dense = panel.densify(stages.sales(), 1, retail.LAST_DAY)
     last = f"d_{retail.LAST_DAY}"
     frames = {
-        "sales_train_evaluation.csv": panel.widen_sales(dense, retail.LAST_DAY),
+        "sales_train_evaluation.csv": panel.widen_sales(stages.dense(), retail.LAST_DAY),
         "sell_prices.csv": stages.prices(),
         "calendar.csv": stages.calendar().drop("day_num"),
     }

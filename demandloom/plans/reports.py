@@ -74,7 +74,7 @@ def weekly_prices(s: Stages) -> DataFrame:
 
 @report
 def wide_unpivot(s: Stages) -> DataFrame:
-    wide = panel.widen_sales(panel.densify(s.sales(), 1, retail.LAST_DAY), retail.LAST_DAY)
+    wide = panel.widen_sales(s.dense(), retail.LAST_DAY)
     return panel.normalize_sales(wide, s.cfg)
 
 
@@ -96,7 +96,7 @@ def wide_structure(s: Stages) -> DataFrame:
 @report
 def stratified_series_sample(s: Stages) -> DataFrame:
     per_series = (
-        panel.densify(s.sales(), 1, retail.LAST_DAY)
+        s.dense()
         .groupBy("id", "state_id")
         .agg(F.sum("units").alias("units"), F.count(F.lit(1)).alias("day_count"))
     )
@@ -127,7 +127,7 @@ def duplicate_keys(s: Stages) -> DataFrame:
 
 @report
 def panel_gaps(s: Stages) -> DataFrame:
-    return panel.panel_gaps(s.sales())
+    return panel.panel_gaps(s.sales_table())
 
 
 # Profiles ------------------------------------------------------------------
@@ -256,7 +256,8 @@ def node_scales(s: Stages) -> DataFrame:
 @report
 def revenue_weights(s: Stages) -> DataFrame:
     nodes = hierarchy.node_history(s.daily_table(), max(s.cfg.backtest_origins))
-    weights = hierarchy.revenue_weights(hierarchy.node_scales(nodes, s.cfg.backtest_origins))
+    scales = hierarchy.node_scales(nodes, s.cfg.backtest_origins)
+    weights = hierarchy.revenue_weights(scales, hierarchy.recent_revenue(s.daily_table(), s.cfg.backtest_origins))
     return weights.select("fold_origin", "level", "node_id", "weight")
 
 

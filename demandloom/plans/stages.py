@@ -40,15 +40,20 @@ class Stages:
     def calendar(self) -> DataFrame:
         return retail.calendar(self.spark)
 
+    # Tables: written once, read by several steps.
+
+    def sales_table(self) -> DataFrame:
+        """Daily sales, so that the fact table is scanned and joined once."""
+        return self._once("sales", self.sales)
+
     def prices(self) -> DataFrame:
-        return retail.weekly_prices(self.sales())
+        return retail.weekly_prices(self.sales_table())
 
-    def daily(self) -> DataFrame:
-        sales = self.sales()
-        dense = panel.densify(sales, 1, retail.LAST_DAY)
-        return panel.join_daily(dense, self.calendar(), retail.weekly_prices(sales))
+    def dense(self) -> DataFrame:
+        return panel.densify(self.sales_table(), 1, retail.LAST_DAY)
 
-    # Tables: written once, read by several steps.
+    def daily(self) -> DataFrame:
+        return panel.join_daily(self.dense(), self.calendar(), self.prices())
 
     def daily_table(self) -> DataFrame:
         return self._once("daily", self.daily)
