@@ -215,6 +215,12 @@ SEARCH_GRID: dict[str, tuple[dict[str, object], ...]] = {
 }
 
 
+def _some_of(frame: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> DataFrame:
+    """Hash sample of the rows, or all of them when a tiny frame leaves none."""
+    sampled = sample_fraction(frame, keys, fraction, seed)
+    return frame if sampled.isEmpty() else sampled
+
+
 def search_parameters(
     train: DataFrame, kind: str, fraction: float, seed: int, grid: Sequence[Mapping[str, object]] | None = None
 ) -> tuple[dict[str, object], DataFrame]:
@@ -225,8 +231,8 @@ def search_parameters(
     """
     keys = ["series_id", "origin_day", "horizon"]
     fit_rows, judge_rows = validation_split(train)
-    fit_rows = staged(sample_fraction(fit_rows, keys, fraction, seed), "search-fit")
-    judge_rows = staged(sample_fraction(judge_rows, keys, fraction, seed), "search-judge")
+    fit_rows = staged(_some_of(fit_rows, keys, fraction, seed), "search-fit")
+    judge_rows = staged(_some_of(judge_rows, keys, fraction, seed), "search-judge")
     results = []
     for number, candidate in enumerate(grid if grid is not None else SEARCH_GRID[kind]):
         scored = DirectForecaster(kind, candidate, seed).fit_model(fit_rows).points(judge_rows)

@@ -130,13 +130,13 @@ def final_learned(
     return fitted, stamped(fitted.predict(future), model_name=kind)
 
 
-def tuned_parameters(training: DataFrame, models: Sequence[str], cfg: Settings, fraction: float = 0.1) -> dict[str, dict]:
+def tuned_parameters(training: DataFrame, models: Sequence[str], cfg: Settings) -> dict[str, dict]:
     """Search once, at the earliest fold; all folds share the result."""
     chosen = [m for m in models if m in LEARNERS]
     if not chosen:
         return {}
     train, _ = baselines.split_fold(training, min(cfg.backtest_origins))
-    return {m: search_parameters(train, m, fraction, cfg.seed)[0] for m in chosen}
+    return {m: search_parameters(train, m, cfg.tune_fraction, cfg.seed)[0] for m in chosen}
 
 
 def backtest(
@@ -162,7 +162,7 @@ def run_single_model(
         forecasts = baselines.backtest_baselines(training, cfg, [model]).where(F.col("fold_origin") == fold)
     else:
         train, _ = baselines.split_fold(training, fold)
-        found, _ = search_parameters(train, model, 0.1, cfg.seed)
+        found, _ = search_parameters(train, model, cfg.tune_fraction, cfg.seed)
         forecasts = learned_fold(training, fold, model, cfg, found)
     scores = hierarchy.fold_scores(hierarchy.hierarchical_wrmsse(daily, forecasts, [fold]))
     keys = ["model_name", "fold_origin"]

@@ -638,7 +638,7 @@ def gbt_forecast(s: Stages) -> DataFrame:
 @report
 def temporal_grid_search(s: Stages) -> DataFrame:
     train, _ = baselines.split_fold(s.training(), min(s.cfg.backtest_origins))
-    _, table = learned.search_parameters(train, "tweedie", 0.1, s.cfg.seed)
+    _, table = learned.search_parameters(train, "tweedie", s.cfg.tune_fraction, s.cfg.seed)
     return table.drop("parameters")
 
 

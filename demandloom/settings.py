@@ -77,6 +77,7 @@ class Settings:
     price_window: int = 28
     quantiles: tuple[float, float, float] = (0.05, 0.5, 0.95)
     series_per_state: int | None = None
+    tune_fraction: float = 0.1
     seed: int = 42
     guardrails: Guardrails = field(default_factory=Guardrails)
     policy: ReplayPolicy = field(default_factory=ReplayPolicy)
