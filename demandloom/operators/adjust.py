@@ -57,16 +57,6 @@ def _cell_sums(frame: DataFrame, keys: Sequence[str], scales: Sequence[float], t
     )
 
 
-def _grid(scales: Sequence[float], thresholds: Sequence[float]) -> Column:
-    """Array of grid points with their positions."""
-    points = [
-        F.struct(F.lit(i).alias("i"), F.lit(float(t)).alias("threshold"), F.lit(j).alias("j"), F.lit(float(s)).alias("scale"))
-        for i, t in enumerate(thresholds)
-        for j, s in enumerate(scales)
-    ]
-    return F.array(*points)
-
-
 def _grid_scores(cells: DataFrame, keys: Sequence[str], scales: Sequence[float], thresholds: Sequence[float]) -> DataFrame:
     """WAPE and bias of every grid point; the cells are a fixed-size table per key."""
     kept = F.col("kept") > F.col("i")
@@ -75,9 +65,11 @@ def _grid_scores(cells: DataFrame, keys: Sequence[str], scales: Sequence[float],
     miss = F.when(~kept, F.col("size")).when(under, F.col("y") - scaled).otherwise(scaled - F.col("y"))
     signed = F.when(kept, scaled).otherwise(F.lit(0.0)) - F.col("y")
     size = floored(F.sum("size"))
+    points = cells.select(
+        *cells.columns, F.posexplode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("i", "threshold")
+    ).select("*", F.posexplode(F.array(*[F.lit(float(s)) for s in scales])).alias("j", "scale"))
     return (
-        cells.select(*cells.columns, F.inline(_grid(scales, thresholds)))
-        .groupBy(*keys, "threshold", "scale")
+        points.groupBy(*keys, "threshold", "scale")
         .agg((F.sum(miss) / size).alias("wape"), (F.sum(signed) / size).alias("bias"))
     )
 

@@ -114,7 +114,7 @@ class DirectForecaster:
             "absolute": lambda p: GBTRegressor(
                 lossType="absolute", seed=self.seed, **common, **({"maxIter": 20, "maxDepth": 5, "stepSize": 0.1} | p)
             ),
-            "huber": lambda p: LinearRegression(loss="huber", **common, **({"regParam": 0.01, "maxIter": 50} | p)),
+            "huber": lambda p: LinearRegression(loss="huber", **common, **({"regParam": 0.01, "maxIter": 30} | p)),
         }
         if self.kind not in choices:
             raise ValueError(f"unknown learner {self.kind!r}; choose from {sorted(choices)}")
@@ -134,7 +134,8 @@ class DirectForecaster:
         if "target" not in train.columns:
             raise ValueError("training data must contain target")
         self.features = numeric_features(train)
-        self.dictionary = staged(fit_categories(train), "categories")
+        if self.dictionary is None:
+            self.dictionary = staged(fit_categories(train), "categories")
         # The fit reads its input once per iteration: materialise the vectors, and
         # keep what fits in memory next to the tasks while it runs.
         vectors = staged(self.vectors(train).select("features", "target"), "vectors").persist()
@@ -276,16 +277,17 @@ def compare_objectives(
 ) -> DataFrame:
     """Evaluation error per loss, raw and after the scale that removes validation bias."""
     fit_rows, validation = validation_split(train)
+    dictionary = staged(fit_categories(fit_rows), "categories")
     rows = []
     for name, (kind, params) in variants.items():
-        model = DirectForecaster(kind, params, seed).fit_model(fit_rows)
+        model = DirectForecaster(kind, params, seed, dictionary=dictionary).fit_model(fit_rows)
         judged = staged(model.points(validation).select("target", "yhat"), "objective")
         best = unbiased_scale_search(judged).first()
         scale = float(best["scale"]) if best is not None else 1.0
         miss, y = F.col("yhat") - F.col("target"), F.col("target")
         adjusted = F.col("yhat") * F.lit(scale) - y
         size = floored(F.sum(F.abs(y)))
-        found = model.points(evaluation).agg(
+        found = staged(model.points(evaluation).select("target", "yhat"), "objective").agg(
             (F.sum(F.abs(miss)) / size).alias("raw_wape"),
             (F.sum(miss) / size).alias("raw_bias"),
             (F.sum(F.abs(adjusted)) / size).alias("adjusted_wape"),

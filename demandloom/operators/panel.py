@@ -29,17 +29,15 @@ def normalize_sales(wide: DataFrame, cfg: Settings) -> DataFrame:
     per row, where a row expansion would carry one projection per day column.
     """
     days = sorted((c for c in wide.columns if c.startswith("d_")), key=lambda c: int(c[2:]))
-    kept = wide.select(*SALES_IDENTIFIERS, *days)
+    # Thousands of columns: one SQL text is parsed much faster than as many column objects.
+    labels = F.expr(f"array({', '.join(repr(day) for day in days)})")
+    packed = wide.select(*SALES_IDENTIFIERS, F.expr(f"array({', '.join(days)})").alias("_values"))
     if cfg.series_per_state is not None:
-        kept = stratified_series(kept, "id", "state_id", cfg.series_per_state, cfg.seed)
-    labels = F.array(*[F.lit(day) for day in days])
-    long = kept.select(
-        *SALES_IDENTIFIERS, F.posexplode(F.array(*[F.col(day) for day in days])).alias("position", "value")
-    )
-    return long.select(
+        packed = stratified_series(packed, "id", "state_id", cfg.series_per_state, cfg.seed)
+    return packed.select(*SALES_IDENTIFIERS, F.posexplode("_values").alias("_position", "_value")).select(
         *SALES_IDENTIFIERS,
-        F.get(labels, F.col("position")).alias("d"),
-        F.col("value").cast("double").alias("units"),
+        F.get(labels, F.col("_position")).alias("d"),
+        F.col("_value").cast("double").alias("units"),
     ).withColumns(
         {"day_num": day_number(F.col("d")), "series_id": F.concat_ws("_", "item_id", "store_id")}
     )
@@ -49,8 +47,8 @@ def widen_sales(daily: DataFrame, last_day: int) -> DataFrame:
     """Inverse of ``normalize_sales`` for a dense panel starting at day 1: one integer column per day."""
     day = F.struct("day_num", F.col("units").cast("int").alias("units"))
     packed = daily.groupBy(*SALES_IDENTIFIERS).agg(F.array_sort(F.collect_list(day)).alias("days"))
-    return packed.select(
-        *SALES_IDENTIFIERS, *[F.get("days", F.lit(i - 1))["units"].alias(f"d_{i}") for i in range(1, last_day + 1)]
+    return packed.selectExpr(
+        *SALES_IDENTIFIERS, *[f"get(days, {i - 1}).units AS d_{i}" for i in range(1, last_day + 1)]
     )
 
 

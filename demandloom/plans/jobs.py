@@ -6,7 +6,6 @@ can be repeated alone and a lost executor costs only its running tasks.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 from datetime import UTC, datetime
 
@@ -16,9 +15,10 @@ from pyspark.sql import functions as F
 from demandloom.functions.exprs import day_number
 from demandloom.operators import accuracy, baselines, contracts, features, hierarchy, inventory, panel, selection
 from demandloom.operators.learned import SEARCH_GRID, DirectForecaster, load_forecaster, save_forecaster, search_parameters
+from demandloom.plans.stages import Stages
 from demandloom.settings import Settings
 from demandloom.sources import files, retail
-from demandloom.sources.tables import read_table, stamped, staging_root, table_path, without_lineage, write_table
+from demandloom.sources.tables import read_table, stamped, table_path, without_lineage, write_table
 
 SOURCE_FILES = tuple(files.REQUIRED_COLUMNS)
 LEARNERS = tuple(SEARCH_GRID)
@@ -283,41 +283,38 @@ def evaluate_stored(spark: SparkSession, lake: str, fmt: str = "parquet") -> dic
 # Source files made from the star-schema tables ------------------------------
 
 
-def export_csv_sources(stages, root: str) -> dict[str, Sequence[str]]:
-    """Write the panel as CSV sources (folders of part files) and return their required columns."""
-    last = f"d_{retail.LAST_DAY}"
-    frames = {
-        "sales_train_evaluation.csv": panel.widen_sales(stages.dense(), retail.LAST_DAY),
-        "sell_prices.csv": stages.prices(),
-        "calendar.csv": stages.calendar().drop("day_num"),
-    }
-    for name, frame in frames.items():
-        frame.write.mode("overwrite").option("header", True).csv(f"{root}/{name}")
-    ids = files.SALES_IDENTIFIERS
-    return {
-        "sales_train_evaluation.csv": (*ids, "d_1", last),
-        "sell_prices.csv": files.REQUIRED_COLUMNS["sell_prices.csv"],
-        "calendar.csv": files.REQUIRED_COLUMNS["calendar.csv"],
-    }
+EXPORT_CONTRACT: dict[str, Sequence[str]] = {
+    "sales_train_evaluation.csv": (*files.SALES_IDENTIFIERS, "d_1", f"d_{retail.LAST_DAY}"),
+    "sell_prices.csv": files.REQUIRED_COLUMNS["sell_prices.csv"],
+    "calendar.csv": files.REQUIRED_COLUMNS["calendar.csv"],
+}
+
+
+def csv_sources(stages: Stages) -> str:
+    """Folder with the panel as CSV sources (each a folder of part files)."""
 
+    def export(root: str) -> None:
+        frames = {
+            "sales_train_evaluation.csv": stages.wide_table(),
+            "sell_prices.csv": stages.prices(),
+            "calendar.csv": stages.calendar().drop("day_num"),
+        }
+        for name, frame in frames.items():
+            frame.write.option("header", True).csv(f"{root}/{name}")
 
-def _exported(stages) -> tuple[str, dict[str, Sequence[str]]]:
-    root = f"{staging_root(stages.spark)}/csv-{uuid.uuid4().hex}"
-    return root, export_csv_sources(stages, root)
+    return stages.csv_folder(export)
 
 
-def csv_roundtrip_audit(stages) -> DataFrame:
-    root, required = _exported(stages)
-    return files.lineage_audit(ingest_frames(stages.spark, root, "roundtrip", list(required), required))
+def csv_roundtrip_audit(stages: Stages) -> DataFrame:
+    frames = ingest_frames(stages.spark, csv_sources(stages), "roundtrip", list(EXPORT_CONTRACT), EXPORT_CONTRACT)
+    return files.lineage_audit(frames)
 
 
-def csv_source_report(stages) -> DataFrame:
-    root, required = _exported(stages)
-    checks = files.source_report(stages.spark, root, list(required), required)
+def csv_source_report(stages: Stages) -> DataFrame:
+    checks = files.source_report(stages.spark, csv_sources(stages), list(EXPORT_CONTRACT), EXPORT_CONTRACT)
     return checks.select("file", "exists", "columns", F.size("missing_required_columns").alias("missing"), "valid")
 
 
-def csv_wide_structure(stages) -> DataFrame:
-    root, required = _exported(stages)
-    frames = ingest_frames(stages.spark, root, "structure", list(required), required)
-    return files.wide_structure(frames["sales_train_evaluation"])
+def csv_wide_structure(stages: Stages) -> DataFrame:
+    name = "sales_train_evaluation.csv"
+    return files.wide_structure(files.read_csv_strict(stages.spark, f"{csv_sources(stages)}/{name}", name))

@@ -74,8 +74,7 @@ def weekly_prices(s: Stages) -> DataFrame:
 
 @report
 def wide_unpivot(s: Stages) -> DataFrame:
-    wide = panel.widen_sales(s.dense(), retail.LAST_DAY)
-    return panel.normalize_sales(wide, s.cfg)
+    return panel.normalize_sales(s.wide_table(), s.cfg)
 
 
 @report

@@ -7,6 +7,7 @@ the shared staging folder and read back from there.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,10 @@ from pyspark.sql import functions as F
 from demandloom.operators import baselines, features, hierarchy, panel, selection
 from demandloom.settings import DEFAULTS, Settings
 from demandloom.sources import retail
-from demandloom.sources.tables import staged
+from demandloom.sources.tables import staged, staging_root
 
 _BUILT: dict[tuple[str, str, Settings, str], DataFrame] = {}
+_EXPORTED: dict[tuple[str, str], str] = {}
 
 
 class Stages:
@@ -52,6 +54,10 @@ class Stages:
     def dense(self) -> DataFrame:
         return panel.densify(self.sales_table(), 1, retail.LAST_DAY)
 
+    def wide_table(self) -> DataFrame:
+        """One row per series and one column per day."""
+        return self._once("wide", lambda: panel.widen_sales(self.dense(), retail.LAST_DAY))
+
     def daily(self) -> DataFrame:
         return panel.join_daily(self.dense(), self.calendar(), self.prices())
 
@@ -96,5 +102,14 @@ class Stages:
     def winner(self) -> str:
         return selection.select_winner(self.summary(), self.cfg.guardrails).first()["model_name"]
 
+    def csv_folder(self, export: Callable[[str], None]) -> str:
+        """Folder of CSV sources, written by ``export`` on first use."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _EXPORTED:
+            folder = f"{staging_root(self.spark)}/csv-{uuid.uuid4().hex}"
+            export(folder)
+            _EXPORTED[key] = folder
+        return _EXPORTED[key]
+
     def panel_until(self, day: int) -> DataFrame:
         return self.daily_table().where(F.col("day_num") <= day)

@@ -32,16 +32,16 @@ def write_table(
     """Replace a table and report its row count from the same job.
 
     The rows are counted by an observation riding on the write, so no second
-    scan is needed. With partition columns the rows are clustered on them first
-    (plus the sort columns' head, so a partition value holding a large share of
-    the rows still spreads over several writers).
+    scan is needed. With partition columns the rows are rebalanced on them:
+    adaptive execution then splits a partition value that holds a large share of
+    the rows over several writers and merges small ones, so file sizes follow the
+    advisory partition size.
     """
     path = table_path(root, layer, table)
     seen = Observation()
     counted = frame.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if sort_within:
-        counted = counted.repartition(*dict.fromkeys([*partition_by, sort_within[0]]))
-        counted = counted.sortWithinPartitions(*partition_by, *sort_within)
+    if partition_by:
+        counted = counted.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_within)
     writer = counted.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
