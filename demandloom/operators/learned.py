@@ -14,11 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.functions.exprs import floored, non_negative
-from demandloom.operators.adjust import seasonal_mean, unbiased_scale_search
+from demandloom.operators.adjust import unbiased_scale_search
 from demandloom.operators.attribution import linear_attribution
 from demandloom.operators.baselines import apply_calibration, fit_calibration, level_factor, validation_split
 from demandloom.operators.sampling import sample_fraction
-from demandloom.settings import SERIES_KEYS, Settings
+from demandloom.settings import SERIES_KEYS
 from demandloom.sources.tables import staged
 
 CATEGORIES = ("item_id", "dept_id", "cat_id", "store_id", "state_id", "target_event_type")
@@ -298,7 +298,3 @@ def compare_objectives(
         rows,
         "variant string, scale double, raw_wape double, raw_bias double, adjusted_wape double, adjusted_bias double",
     )
-
-
-def seasonal_points(frame: DataFrame) -> DataFrame:
-    return frame.withColumn("yhat", F.coalesce(seasonal_mean(), F.lit(0.0)))
