@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import pieces, records, sharding, url_rules
+from demandloom.llm import leaks, licences, pieces, quality, records, secret_scan, sharding, url_rules
 from demandloom.llm.common import new_path, staged, table
 
 #: The rules of the url contract.
@@ -45,11 +45,36 @@ def op4_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(staged(manifest, "id-manifest"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item, exact or edited, with the share of a full match."""
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entire texts and lines that are a known licence or notice."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of the fitted quality rule for every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, by pattern and by structure."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_url_filters": op2_url_filters,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_binary_output": op4_binary_output,
+    "op5_decontamination": op5_decontamination,
+    "op7_licences": op7_licences,
+    "op8_quality": op8_quality,
+    "op9_secrets": op9_secrets,
 }
 
 _HOST = r"translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
