@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import leaks, licences, pieces, quality, records, secret_scan, sharding, url_rules
+from demandloom.llm import leaks, licences, pieces, quality, records, repeats, secret_scan, sharding, url_rules
 from demandloom.llm.common import new_path, staged, table
 
 #: The rules of the url contract.
@@ -66,6 +66,11 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that a smaller doc_id has."""
+    return repeats.deduplicate(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_url_filters": op2_url_filters,
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_licences": op7_licences,
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 _HOST = r"translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
