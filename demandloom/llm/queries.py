@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import leaks, licences, pieces, quality, records, repeats, secret_scan, sharding, url_rules
+from demandloom.llm import jaccard, leaks, licences, pieces, quality, records, repeats, secret_scan, sharding, url_rules
 from demandloom.llm.common import new_path, staged, table
 
 #: The rules of the url contract.
@@ -50,6 +50,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's set size and the smallest doc_id reachable over links of similarity 0.8 or more."""
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entire texts and lines that are a known licence or notice."""
     return licences.scan(table(spark, sf_dir, "documents"))
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_binary_output": op4_binary_output,
     "op5_decontamination": op5_decontamination,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_licences": op7_licences,
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
