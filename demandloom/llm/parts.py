@@ -7,6 +7,7 @@ looks up its own.
 
 from __future__ import annotations
 
+import contextlib
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -55,10 +56,13 @@ def cuts_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 def with_part(docs: DataFrame) -> DataFrame:
     """id, text, and the file each row is read from; a frame that does not come from files is written first."""
-    try:
-        rows = docs.select("doc_id", "text", F.col("_metadata.file_path").alias("file"))
-    except AnalysisException:
-        rows = staged(docs.select("doc_id", "text"), "part-docs").select("doc_id", "text", F.col("_metadata.file_path").alias("file"))
+    file = F.col("_metadata.file_path").alias("file")
+    rows = None
+    if docs.inputFiles():
+        with contextlib.suppress(AnalysisException):
+            rows = docs.select("doc_id", "text", file)
+    if rows is None:
+        rows = staged(docs.select("doc_id", "text"), "part-docs").select("doc_id", "text", file)
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("file").alias("part"))
 
 

@@ -253,7 +253,7 @@ class PieceCoder:
         split = [self.keys(text) for text in texts]
         if len(self.known) > KEPT_WORDS:
             self._clear()
-        fresh = list({key for keys in split for key in keys} - self.known.keys())
+        fresh = list(set().union(*split) - self.known.keys())
         if fresh:
             self._learn(fresh)
         out = []
@@ -356,10 +356,12 @@ def digest_documents(docs: DataFrame, model_path: str) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def text_runs(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Stretches of (doc_id, text) rows of about `most` characters, so memory follows the longest text, not the batch."""
+def text_runs(
+    batches: Iterator[pa.RecordBatch], most: int = 4 << 20, at: int = 1
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Stretches of rows, with their texts in column `at`, of about `most` characters, so memory follows the longest text, not the batch."""
     for batch in batches:
-        texts = [text or "" for text in batch.column(1).to_pylist()]
+        texts = [text or "" for text in batch.column(at).to_pylist()]
         first, size = 0, 0
         for n, text in enumerate(texts):
             size += len(text)

@@ -162,7 +162,7 @@ def labelled_features(docs: DataFrame, labels: DataFrame, max_labelled: int, see
     return rows.mapInArrow(run, "label int, held boolean, buckets array<int>, shares array<float>")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, steps: int = 200) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 3000, steps: int = 200) -> Model:
     """Fit on a bounded sample, calibrate on the quarter of it held out."""
     sample = labelled_features(docs, labels, max_labelled).toArrow()  # about max_labelled rows
     label = sample["label"].to_numpy().astype(float)
@@ -172,13 +172,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, steps: int
     lists = sample["buckets"].combine_chunks()
     counts = np.diff(lists.offsets.to_numpy())
     bucket = lists.values.to_numpy()
-    share = sample["shares"].combine_chunks().values.to_numpy().astype(float)
-    row = np.repeat(np.arange(len(label)), counts)
+    share = sample["shares"].combine_chunks().values.to_numpy()
+    row = np.repeat(np.arange(len(label), dtype=np.int32), counts)
     held = sample["held"].to_numpy(zero_copy_only=False).astype(bool)
     if held.all() or len(set(label[~held])) < 2 or len(set(label[held])) < 2:
         held = np.zeros(len(label), dtype=bool)
     of_fit = ~held[row]
     x_bucket, x_row, x_share = bucket[of_fit], row[of_fit], share[of_fit]
+    del lists
     # both classes weigh the same, so a rare class is not ignored
     class_weight = np.where(label > 0, 0.5 / label[~held].mean(), 0.5 / (1 - label[~held].mean())) * ~held
     class_weight /= class_weight.sum()
@@ -215,34 +216,53 @@ def calibrate(raw: np.ndarray, label: np.ndarray, steps: int = 100) -> tuple[flo
     return max(float(a), 0.0), float(b)
 
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def judged(column: pa.Array, model: Model, threshold: float) -> Iterator[tuple[int, int, dict[str, np.ndarray]]]:
+    """(first row, end row, counts and verdicts) of the texts, slice by slice."""
+    for first, end, data, bounds in text_slices(column):
+        starts, ends = word_bounds(data, bounds)
+        words = span_hashes(data, starts, ends)
+        out = base_counts(data, bounds, starts, ends, words)
+        blocks = features(data, bounds, starts, ends, words)
+        out["probability"] = model.probability(raw_scores(blocks, model.weights, model.bias, end - first))
+        out["base_failed"] = (out["n_words"] < MIN_WORDS) | (
+            100 * out["n_repeat_words"] > REPEAT_PERCENT * out["n_words"]
+        )
+        out["kept"] = ~out["base_failed"] & (out["probability"] >= threshold)
+        yield first, end, out
+
+
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, the base counts, base_failed, kept and the calibrated probability of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # three blocks of BUCKETS weights
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = shared.value
         for batch in batches:
-            for first, end, data, bounds in text_slices(batch.column(1)):
-                starts, ends = word_bounds(data, bounds)
-                words = span_hashes(data, starts, ends)
-                counts = base_counts(data, bounds, starts, ends, words)
-                blocks = features(data, bounds, starts, ends, words)
-                p = fitted.probability(raw_scores(blocks, fitted.weights, fitted.bias, end - first))
-                failed = (counts["n_words"] < MIN_WORDS) | (
-                    100 * counts["n_repeat_words"] > REPEAT_PERCENT * counts["n_words"]
-                )
+            for first, end, out in judged(batch.column(1), shared.value, threshold):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, end - first),
-                        *(pa.array(counts[name].astype(np.int64)) for name in names),
-                        pa.array(failed),
-                        pa.array(~failed & (p >= threshold)),
-                        pa.array(p),
+                        *(pa.array(out[name].astype(np.int64)) for name in COUNTS),
+                        *(pa.array(out[name]) for name in ("base_failed", "kept", "probability")),
                     ],
-                    names=["doc_id", *names, "base_failed", "kept", "probability"],
+                    names=["doc_id", *COUNTS, "base_failed", "kept", "probability"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    schema = "doc_id long, " + ", ".join(f"{name} long" for name in names)
+    schema = "doc_id long, " + ", ".join(f"{name} long" for name in COUNTS)
     return rows.mapInArrow(run, schema + ", base_failed boolean, kept boolean, probability double")
+
+
+def kept_rows(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that the rules keep, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, out in judged(batch.column(at), shared.value, threshold):
+                yield batch.slice(first, end - first).filter(pa.array(out["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)
