@@ -32,8 +32,10 @@ from demandloom.llm.pieces import text_runs
 
 MASK = 0xA282EAD8
 INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("offset", "<u8"), ("ids", "<u8")])
+#: ASCII signs; no letter, digit or blank.
+SIGNS = """!"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"""
 #: Distinct words kept by a worker before its store is emptied.
-KEPT_WORDS = 1_500_000
+KEPT_WORDS = 1_000_000
 
 
 def masked(data: bytes) -> int:
@@ -81,8 +83,18 @@ class WordCoder:
         self.flat = np.zeros(1 << 16, np.uint32)
         self.bounds = np.zeros(1 << 12, np.int64)
 
+    def _parts(self, word: str) -> tuple[str, str]:
+        """A word and the signs at its end; the tokenizer lowers letters and never joins them with signs."""
+        if not word.isascii() or "<|" in word:
+            return word, ""
+        core = word.rstrip(SIGNS)
+        return (core.lower(), word[len(core):]) if core else (word, "")
+
     def _learn(self, words: list[str]) -> None:
-        rows = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        parts = [self._parts(word) for word in words]
+        asked = list(set().union(*parts) - {""} - self.known.keys())
+        spelled = dict(zip(asked, (e.ids for e in self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)), strict=True))
+        rows = [[i for part in pair if part for i in self._ids(part, spelled)] for pair in parts]
         counts = np.fromiter(map(len, rows), np.int64, len(rows))
         ids = np.fromiter((i for row in rows for i in row), np.uint32, int(counts.sum()))
         have, filled = len(self.known), int(self.bounds[len(self.known)])
@@ -94,12 +106,18 @@ class WordCoder:
         self.bounds[have + 1: have + len(words) + 1] = filled + np.cumsum(counts)
         self.known.update(zip(words, range(have, have + len(words)), strict=True))
 
+    def _ids(self, part: str, spelled: dict[str, list[int]]) -> list[int]:
+        if part in spelled:
+            return spelled[part]
+        at = self.known[part]
+        return self.flat[self.bounds[at]: self.bounds[at + 1]].tolist()
+
     def encode(self, texts: Sequence[str], end_id: int) -> list[np.ndarray]:
         """Ids of every text, each with the end id."""
         split = [text.replace("\n", " ").split(" ") for text in texts]
         if len(self.known) > KEPT_WORDS:
             self._clear()
-        fresh = list({word for words in split for word in words} - self.known.keys())
+        fresh = list(set().union(*split) - self.known.keys())
         for first in range(0, len(fresh), 20_000):
             self._learn(fresh[first: first + 20_000])
         out = []
