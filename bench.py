@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,8 +24,7 @@ HEADLINE = (
     "intermittency_regimes", "retail_mix", "origin_features", "target_lags", "direct_training_features",
     "forecast_features", "leakage_audit", "hierarchy_rollup", "node_scales", "hierarchical_wrmsse",
     "residual_calibration", "baseline_backtest", "backtest_summary", "wape_by_granularity", "model_summary",
-    "threshold_scale_grid", "unbiased_scale_grid", "group_scale", "order_up_to_bootstrap", "inventory_kpis",
-    "what_if_policies", "recommendations", "attribution_global", "attribution_segment", "attribution_summary",
+    "threshold_scale_grid", "unbiased_scale_grid", "group_scale", "order_up_to_bootstrap", "recommendations", "attribution_global", "attribution_segment", "attribution_summary",
     "final_forecast_hierarchy", "tweedie_forecast",
 )
 
@@ -34,6 +34,7 @@ def session() -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="spark-bench-"))
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")

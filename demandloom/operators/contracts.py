@@ -33,11 +33,6 @@ def recommendation_rules() -> dict[str, Column]:
     }
 
 
-def conservation_rules(tolerance: float = 1e-6) -> dict[str, Column]:
-    gap = F.abs(F.col("sales") + F.col("lost_sales") - F.col("demand"))
-    return {"demand_conserved": gap <= tolerance, "stock_not_negative": F.col("ending_on_hand") >= 0}
-
-
 def violations(frame: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Broken rows, once per broken rule; a rule that yields null counts as broken."""
     named = [F.when(~F.coalesce(ok, F.lit(False)), F.lit(rule)) for rule, ok in rules.items()]

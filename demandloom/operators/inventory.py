@@ -1,4 +1,4 @@
-"""Order-up-to levels from residual blocks and a periodic-review replay."""
+"""Order-up-to levels and order recommendations from residual blocks."""
 
 from __future__ import annotations
 
@@ -9,12 +9,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.functions.exprs import floored, hash_number, non_negative, rate, text_hash
+from demandloom.functions.exprs import hash_number, non_negative, text_hash
 from demandloom.operators.sampling import enumerate_rows
 from demandloom.settings import ReplayPolicy
 
-# Gaps below this are rounding noise of the level and trigger no order.
-MIN_ORDER = 1e-9
+# Numbers of a sample that may be broadcast.
+SAMPLE_LIMIT = 20_000_000
 BLOCK_KEYS = ("model_name", "fold_origin", "series_id")
 
 
@@ -84,11 +84,20 @@ def order_up_to(windows: DataFrame, samples: DataFrame) -> DataFrame:
     residuals the level is the plain forecast sum; an empty window needs nothing.
 
     Each window costs paths x days additions, which array lambdas would
-    interpret one by one, so the arithmetic runs on Arrow batches. The sample
-    (models x draws x paths blocks, fixed by the parameters) ships with the
-    function; the windows are partitioned by Spark and never leave the tasks.
+    interpret one by one, so the arithmetic runs on Arrow batches. The sample is
+    broadcast after a check of its size (models x draws x paths blocks, fixed by
+    the parameters); the windows are partitioned by Spark and never leave the tasks.
     """
-    drawn = {(r["model_name"], r["draw"]): np.array(r["sample"], dtype=float) for r in samples.collect()}
+    size = samples.agg(F.sum(F.size("sample") * F.size(F.get("sample", F.lit(0))))).first()[0] or 0
+    if size > SAMPLE_LIMIT:
+        raise ValueError(f"a sample of {size} numbers is too large to broadcast; use fewer paths or models at a time")
+    table = samples.toArrow().to_pydict()
+    drawn = samples.sparkSession.sparkContext.broadcast(
+        {
+            (model, draw): np.array(sample, dtype=float)
+            for model, draw, sample in zip(table["model_name"], table["draw"], table["sample"], strict=True)
+        }
+    )
 
     @F.pandas_udf("double")
     def level(model: pd.Series, draw: pd.Series, point: pd.Series, service: pd.Series) -> pd.Series:
@@ -98,7 +107,7 @@ def order_up_to(windows: DataFrame, samples: DataFrame) -> DataFrame:
             if length == 0:
                 continue
             forecast = np.stack(rows.to_numpy()).astype(float)
-            sample = drawn.get((name, day))
+            sample = drawn.value.get((name, day))
             if sample is None:
                 result.loc[rows.index] = forecast.sum(axis=1)
                 continue
@@ -120,13 +129,13 @@ def _series_days(forecasts: DataFrame) -> DataFrame:
     return forecasts.groupBy("model_name", "series_id").agg(F.array_sort(F.collect_list(day)).alias("days"))
 
 
-def replay_levels(
+def review_levels(
     forecasts: DataFrame, blocks: DataFrame, policies: Sequence[ReplayPolicy], horizon: int, seed: int
 ) -> DataFrame:
     """Order-up-to level per policy, model, series and review day (first day = 0)."""
     paths = policies[0].paths
     if any(p.paths != paths for p in policies):
-        raise ValueError("policies replayed together must use the same number of paths")
+        raise ValueError("policies that share a sample must use the same number of paths")
     draws = sorted({d for p in policies for d in range(0, horizon, p.review_days)})
     reviews = F.filter(
         F.sequence(F.lit(0), F.size("days") - 1), lambda d: d % F.col("review_days") == 0
@@ -152,103 +161,6 @@ def replay_levels(
     )
 
 
-def replay_policy(forecasts: DataFrame, levels: DataFrame, policies: Sequence[ReplayPolicy]) -> DataFrame:
-    """Day-by-day lost-sales replay of every policy, model and series.
-
-    The state (stock on hand, open orders by arrival day) is folded over the
-    ordered days of a series inside the JVM; all series run in parallel.
-    """
-    orders = levels.groupBy("policy", "model_name", "series_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("day_index", "level"))).alias("levels")
-    )
-    scenarios = _series_days(forecasts).select("*", scenario_rows(policies))
-    start = scenarios.join(orders, ["policy", "model_name", "series_id"])
-    opening = F.coalesce("initial_on_hand", F.try_element_at("levels", F.lit(0)))
-    empty_log = F.expr(
-        "cast(array() as array<struct<target_date:date,demand:double,forecast:double,unit_price:double,"
-        "arrivals:double,sales:double,lost_sales:double,ending_on_hand:double,inventory_position:double,"
-        "order_up_to:double,order_quantity:double>>)"
-    )
-    state = F.struct(
-        opening.alias("on_hand"),
-        F.array_repeat(F.lit(0.0), F.col("lead_days")).alias("open_orders"),
-        F.lit(0).alias("day"),
-        empty_log.alias("log"),
-    )
-
-    def step(s: Column, d: Column) -> Column:
-        arrived = F.get(s["open_orders"], F.lit(0))
-        still_open = F.slice(s["open_orders"], F.lit(2), F.col("lead_days") - 1)
-        stocked = s["on_hand"] + arrived
-        sold = F.least(stocked, d["target"])
-        left = stocked - sold
-        position = left + F.aggregate(still_open, F.lit(0.0), lambda a, x: a + x)
-        level = F.when(s["day"] % F.col("review_days") == 0, F.try_element_at("levels", s["day"]))
-        gap = level - position
-        ordered = F.when(gap > MIN_ORDER, gap).otherwise(F.lit(0.0))
-        entry = F.struct(
-            d["target_date"].alias("target_date"),
-            d["target"].alias("demand"),
-            d["yhat"].alias("forecast"),
-            F.coalesce(d["unit_price"], F.lit(0.0)).alias("unit_price"),
-            arrived.alias("arrivals"),
-            sold.alias("sales"),
-            (d["target"] - sold).alias("lost_sales"),
-            left.alias("ending_on_hand"),
-            position.alias("inventory_position"),
-            level.alias("order_up_to"),
-            ordered.alias("order_quantity"),
-        )
-        return F.struct(
-            left.alias("on_hand"),
-            F.concat(still_open, F.array(ordered)).alias("open_orders"),
-            (s["day"] + 1).alias("day"),
-            F.concat(s["log"], F.array(entry)).alias("log"),
-        )
-
-    log = F.aggregate("days", state, step, lambda s: s["log"])
-    replayed = start.select(
-        "policy", "model_name", "series_id", "order_cost", "annual_holding_rate", "stockout_multiplier",
-        F.inline(log),
-    )
-    return replayed.select(
-        "policy", "model_name", "series_id", "target_date", "demand", "forecast", "arrivals", "sales",
-        "lost_sales", "ending_on_hand", "inventory_position", "order_up_to", "order_quantity",
-        (F.col("ending_on_hand") * F.col("unit_price") * F.col("annual_holding_rate") / 365).alias("holding_cost"),
-        F.when(F.col("order_quantity") > 0, F.col("order_cost")).otherwise(F.lit(0.0)).alias("ordering_cost"),
-        (F.col("lost_sales") * F.col("unit_price") * F.col("stockout_multiplier")).alias("stockout_cost"),
-    )
-
-
-def inventory_kpis(daily: DataFrame) -> DataFrame:
-    """Service, stock and cost measures per policy, model and series."""
-    costs = ("holding_cost", "ordering_cost", "stockout_cost")
-    return (
-        daily.groupBy("policy", "model_name", "series_id")
-        .agg(
-            (F.sum("sales") / floored(F.sum("demand"))).alias("fill_rate"),
-            rate(F.col("lost_sales") > 0).alias("stockout_rate"),
-            F.avg("ending_on_hand").alias("average_inventory"),
-            F.count_if(F.col("order_quantity") > 0).cast("double").alias("order_count"),
-            F.sum("order_quantity").alias("units_ordered"),
-            F.sum("lost_sales").alias("lost_sales_units"),
-            *[F.sum(c).alias(c) for c in costs],
-        )
-        .withColumn("total_cost", F.col("holding_cost") + F.col("ordering_cost") + F.col("stockout_cost"))
-    )
-
-
-def policy_comparison(kpis: DataFrame) -> DataFrame:
-    """Means of service measures and totals of losses per policy and model."""
-    return kpis.groupBy("policy", "model_name").agg(
-        F.avg("fill_rate").alias("fill_rate"),
-        F.avg("stockout_rate").alias("stockout_rate"),
-        F.avg("average_inventory").alias("average_inventory"),
-        F.sum("lost_sales_units").alias("lost_sales_units"),
-        F.sum("total_cost").alias("total_cost"),
-    )
-
-
 def recommendations(forecasts: DataFrame, blocks: DataFrame, policy: ReplayPolicy, seed: int) -> DataFrame:
     """Reorder point, order-up-to level and suggested order per series.
 

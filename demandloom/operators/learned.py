@@ -216,10 +216,12 @@ SEARCH_GRID: dict[str, tuple[dict[str, object], ...]] = {
 }
 
 
-def _some_of(frame: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> DataFrame:
-    """Hash sample of the rows, or all of them when a tiny frame leaves none."""
-    sampled = sample_fraction(frame, keys, fraction, seed)
-    return frame if sampled.isEmpty() else sampled
+def _sampled(frame: DataFrame, keys: Sequence[str], fraction: float, seed: int, label: str) -> DataFrame:
+    """Staged hash sample of the rows; an empty one is an error that a larger fraction mends."""
+    sample = staged(sample_fraction(frame, keys, fraction, seed), label)
+    if sample.isEmpty():
+        raise ValueError(f"a fraction of {fraction} leaves no rows to tune on")
+    return sample
 
 
 def search_parameters(
@@ -232,8 +234,8 @@ def search_parameters(
     """
     keys = ["series_id", "origin_day", "horizon"]
     fit_rows, judge_rows = validation_split(train)
-    fit_rows = staged(_some_of(fit_rows, keys, fraction, seed), "search-fit")
-    judge_rows = staged(_some_of(judge_rows, keys, fraction, seed), "search-judge")
+    fit_rows = _sampled(fit_rows, keys, fraction, seed, "search-fit")
+    judge_rows = _sampled(judge_rows, keys, fraction, seed, "search-judge")
     results = []
     for number, candidate in enumerate(grid if grid is not None else SEARCH_GRID[kind]):
         scored = DirectForecaster(kind, candidate, seed).fit_model(fit_rows).points(judge_rows)

@@ -67,7 +67,10 @@ def densify(sales: DataFrame, first_day: int, last_day: int) -> DataFrame:
             F.lit(0.0).alias("units"),
         )
     )
-    observed = sales.where(F.col("day_num").between(first_day, last_day)).select(*SERIES_KEYS, "day_num", "units")
+    # A sale outside the calendar stops the job instead of vanishing from the panel.
+    outside = F.raise_error(F.concat(F.lit("sale outside the calendar: day "), F.col("day_num").cast("string")))
+    day = F.when(F.col("day_num").between(first_day, last_day), F.col("day_num")).otherwise(outside.cast("int"))
+    observed = sales.select(*SERIES_KEYS, day.alias("day_num"), "units")
     return (
         observed.unionByName(zeros)
         .repartition(*SERIES_KEYS)
@@ -135,6 +138,13 @@ def panel_gaps(daily: DataFrame) -> DataFrame:
     )
 
 
+def require_dense(daily: DataFrame) -> None:
+    """Stop the job when a series misses a day of its span."""
+    gap = panel_gaps(daily).first()
+    if gap is not None:
+        raise ValueError(f"panel has gaps, first in {gap.asDict()}")
+
+
 def require_valid(report: DataFrame, what: str) -> dict[str, object]:
     """Stop the job when a one-row report is not valid."""
     row = report.first()

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandloom.sources.tables import staged
-
 SPLITS = 64
 
 
@@ -27,20 +25,18 @@ def exact_quantiles(
 
     The built-in exact percentile keeps every distinct value of a group in one
     task. Here values are first collapsed to (group, value, count) with map-side
-    combination (a written table, as three passes follow), cut into slices of
-    about equal numbers of distinct values, and only the slices that contain a
-    wanted rank are ordered. A group may hold any
-    share of the rows; the groups themselves are a report grain (models, folds,
-    horizons, categories), so the two per-group tables that are broadcast have
-    at most ``SPLITS`` rows or numbers for each of them.
+    combination (one shuffle, which the passes that follow share), cut into slices
+    of about equal numbers of distinct values, and only the slices that contain a
+    wanted rank are ordered. A group may hold any share of the rows. Nothing runs
+    before the result is asked for, and no join is told to broadcast: the size of
+    the per-group tables decides.
     """
     keys = list(keys)
     copies = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    tallied = staged(
+    tallied = (
         frame.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).alias("_v"))
-        .agg(copies.cast("bigint").alias("_n")),
-        "tally",
+        .agg(copies.cast("bigint").alias("_n"))
     )
     cuts = tallied.groupBy(*keys).agg(
         F.percentile_approx("_v", [i / SPLITS for i in range(1, SPLITS)], 10000).alias("_cuts"),
@@ -58,7 +54,7 @@ def exact_quantiles(
     located = bounds.select(*keys, "_slice", "_start", here.alias("_wants")).where(F.size("_wants") > 0)
     inside = Window.partitionBy(*keys, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
-        sliced.join(F.broadcast(located), [*keys, "_slice"])
+        sliced.join(located, [*keys, "_slice"])
         .withColumn("_to", F.col("_start") + F.sum("_n").over(inside))
         .withColumn("_from", F.col("_to") - F.col("_n"))
     )
@@ -76,7 +72,8 @@ def exact_quantiles(
 
 def _attach(left: DataFrame, per_group: DataFrame, keys: list[str]) -> DataFrame:
     """Join with a table of one row per group."""
-    return left.join(F.broadcast(per_group), keys) if keys else left.crossJoin(F.broadcast(per_group))
+    # Without keys there is one row.
+    return left.join(per_group, keys) if keys else left.crossJoin(F.broadcast(per_group))
 
 
 def _meets(want: Column, start: Column, end: Column) -> Column:

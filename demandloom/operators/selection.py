@@ -65,9 +65,8 @@ def select_winner(summary: DataFrame, rails: Guardrails) -> DataFrame:
 
 
 def promotion_gate(candidate: DataFrame, incumbent: DataFrame, rails: Guardrails) -> DataFrame:
-    """Decide on each candidate row against the single incumbent row (which may be absent)."""
-    # The incumbent is at most one row.
-    held = incumbent.select(F.col("mean_wrmsse").alias("_held")).limit(1)
+    """Decide on each candidate row against the incumbent (which may be absent; of several the best score counts)."""
+    held = incumbent.agg(F.min("mean_wrmsse").alias("_held"))
     judged = candidate.join(F.broadcast(held), F.lit(True), "left")
     required = F.col("_held") * (1 - rails.improvement)
     reasons = broken_guardrails(rails) | {

@@ -81,6 +81,7 @@ def run_silver(spark: SparkSession, lake: str, cfg: Settings, run_id: str, fmt:
     write_table(daily, lake, "silver_pending", "sales_daily", fmt=fmt)
     pending = read_table(spark, lake, "silver_pending", "sales_daily", fmt)
     quality = panel.require_valid(panel.validate_panel(pending), "silver panel")
+    panel.require_dense(pending)
     return {
         "quality": quality,
         "sales_daily": write_table(
@@ -244,40 +245,30 @@ def run_final_forecast(
 
 
 def run_inventory(spark: SparkSession, lake: str, cfg: Settings, run_id: str, fmt: str = "parquet") -> dict[str, object]:
-    """Replay the winner and the seasonal naive on the newest fold and recommend orders."""
+    """Order-up-to levels of the winner's newest fold and recommended orders."""
     backtests = read_table(spark, lake, "gold", "backtest_forecasts", fmt)
     if "unit_price" not in backtests.columns:
         backtests = inventory.with_unit_price(backtests, read_table(spark, lake, "gold", "training_features", fmt))
     forecasts = read_table(spark, lake, "gold", "forecasts_bottom", fmt)
     winner = forecasts.select("model_name").first()["model_name"]
-    used = backtests.where(F.col("model_name").isin(winner, "seasonal_naive"))
+    used = backtests.where(F.col("model_name") == winner)
     blocks = inventory.residual_blocks(used, cfg.horizon)
-    latest = inventory.latest_fold(used)
-    levels = inventory.replay_levels(latest, blocks, [cfg.policy], cfg.horizon, cfg.seed)
-    replayed = stamped(inventory.replay_policy(latest, levels, [cfg.policy]), run_id=run_id)
-    daily = write_table(replayed, lake, "gold", "inventory_daily", fmt=fmt)
-    stored = read_table(spark, lake, "gold", "inventory_daily", fmt)
-    kpis = write_table(stamped(inventory.inventory_kpis(stored), run_id=run_id), lake, "gold", "inventory_kpis", fmt=fmt)
-    advice = inventory.recommendations(
-        forecasts, blocks.where(F.col("model_name") == winner), cfg.policy, cfg.seed
-    )
+    levels = inventory.review_levels(inventory.latest_fold(used), blocks, [cfg.policy], cfg.horizon, cfg.seed)
+    stored = write_table(stamped(levels, run_id=run_id), lake, "gold", "inventory_levels", fmt=fmt)
+    advice = inventory.recommendations(forecasts, blocks, cfg.policy, cfg.seed)
     written = write_table(
         contracts.require_exact_columns(stamped(advice, run_id=run_id), contracts.RECOMMENDATION_COLUMNS),
         lake, "gold", "inventory_recommendations", fmt=fmt,
     )
-    return {"run_id": run_id, "daily": daily, "kpis": kpis, "recommendations": written}
+    return {"run_id": run_id, "levels": stored, "recommendations": written}
 
 
 def evaluate_stored(spark: SparkSession, lake: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Accuracy and inventory tables from stored outputs; nothing is trained."""
+    """Accuracy tables from stored outputs; nothing is trained."""
     backtests = read_table(spark, lake, "gold", "backtest_forecasts", fmt)
     summary = read_table(spark, lake, "gold", "model_metrics", fmt)
     details = read_table(spark, lake, "gold", "wrmsse_details", fmt)
-    kpis = read_table(spark, lake, "gold", "inventory_kpis", fmt)
-    return {
-        "accuracy": selection.accuracy_table(summary, backtests, hierarchy.bottom_rmsse(details)),
-        "inventory": inventory.policy_comparison(kpis),
-    }
+    return {"accuracy": selection.accuracy_table(summary, backtests, hierarchy.bottom_rmsse(details))}
 
 
 # Source files made from the star-schema tables ------------------------------

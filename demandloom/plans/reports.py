@@ -29,12 +29,6 @@ LINEAR_WEIGHTS = {
 }
 
 POLICY = ReplayPolicy()
-SCENARIOS = (
-    ReplayPolicy(name="base"),
-    ReplayPolicy(name="fast", lead_days=3, review_days=7),
-    ReplayPolicy(name="slow", lead_days=14, review_days=14, service_level=0.9),
-    ReplayPolicy(name="lean", lead_days=7, review_days=7, service_level=0.8, initial_on_hand=50.0),
-)
 
 
 def report(build: Callable[[Stages], DataFrame]) -> Callable[[Stages], DataFrame]:
@@ -211,6 +205,12 @@ def leakage_audit(s: Stages) -> DataFrame:
     return features.leakage_audit(s.training(), s.daily_table(), s.cfg)
 
 
+@report
+def future_blind_audit(s: Stages) -> DataFrame:
+    origin = max(s.cfg.backtest_origins)
+    return features.future_blind_audit(s.training(), s.blind_daily(origin), s.calendar(), origin, s.cfg)
+
+
 @report
 def feature_null_quantiles(s: Stages) -> DataFrame:
     return features.feature_distribution(s.training())
@@ -441,9 +441,11 @@ def top_series(s: Stages) -> DataFrame:
 # Post-processing -----------------------------------------------------------
 
 
-def _judged(s: Stages) -> DataFrame:
-    """Moving-average points at the last validation origin and the last evaluation origin."""
-    return baselines.baseline_points(s.training(), ["moving_average"])
+def _judged(s: Stages) -> tuple[DataFrame, DataFrame]:
+    """Moving-average points at the last validation origin and at the last evaluation origin."""
+    points = baselines.baseline_points(s.training(), ["moving_average"])
+    validation, evaluation = sorted(s.cfg.backtest_origins)[-2:]
+    return points.where(F.col("origin_day") == validation), points.where(F.col("origin_day") == evaluation)
 
 
 @report
@@ -458,16 +460,14 @@ def unbiased_scale_grid(s: Stages) -> DataFrame:
 
 @report
 def threshold_scale_applied(s: Stages) -> DataFrame:
-    points = _judged(s)
-    best = adjust.threshold_scale_search(points.where(F.col("origin_day") == 2415))
-    adjusted = adjust.apply_threshold_scale(points.where(F.col("origin_day") == 2443), best)
+    validation, evaluation = _judged(s)
+    adjusted = adjust.apply_threshold_scale(evaluation, adjust.threshold_scale_search(validation))
     return accuracy.point_metrics(adjusted, [], intervals=False)
 
 
 @report
 def group_scale(s: Stages) -> DataFrame:
-    points = _judged(s)
-    calibration, scoring = (points.where(F.col("origin_day") == o) for o in (2415, 2443))
+    calibration, scoring = _judged(s)
     parts = [
         accuracy.point_metrics(adjust.apply_group_scale(calibration, scoring, columns, prior), [], intervals=False)
         .withColumn("variant", F.lit(name))
@@ -481,7 +481,7 @@ def group_scale(s: Stages) -> DataFrame:
 
 @report
 def group_scale_factors(s: Stages) -> DataFrame:
-    calibration = _judged(s).where(F.col("origin_day") == 2415)
+    calibration, _ = _judged(s)
     return adjust.group_scales(calibration, ("store_id", "dept_id"), 100.0)
 
 
@@ -492,7 +492,7 @@ def seasonal_mean(s: Stages) -> DataFrame:
 
 @report
 def seasonal_mean_blend(s: Stages) -> DataFrame:
-    validation = s.training().where(F.col("origin_day") == 2415).select(
+    validation = s.training().where(F.col("origin_day") == sorted(s.cfg.backtest_origins)[-2]).select(
         "target", baselines.moving_average().alias("model"), adjust.seasonal_mean().alias("seasonal")
     )
     return adjust.blend_search(validation, "model", "seasonal")
@@ -506,15 +506,11 @@ def _blocks(s: Stages) -> DataFrame:
 
 
 def _levels(s: Stages, policies) -> DataFrame:
-    return inventory.replay_levels(
+    return inventory.review_levels(
         inventory.latest_fold(s.backtests()), _blocks(s), policies, s.cfg.horizon, s.cfg.seed
     )
 
 
-def _replay(s: Stages, policies) -> DataFrame:
-    return inventory.replay_policy(inventory.latest_fold(s.backtests()), _levels(s, policies), policies)
-
-
 @report
 def residual_blocks(s: Stages) -> DataFrame:
     return _blocks(s).select("model_name", "fold_origin", "series_id", F.posexplode("block").alias("step", "residual"))
@@ -525,28 +521,8 @@ def order_up_to_bootstrap(s: Stages) -> DataFrame:
     return _levels(s, [POLICY])
 
 
-@report
-def inventory_replay(s: Stages) -> DataFrame:
-    return _replay(s, [POLICY])
-
-
-@report
-def inventory_kpis(s: Stages) -> DataFrame:
-    return inventory.inventory_kpis(_replay(s, [POLICY]))
-
-
-@report
-def policy_comparison(s: Stages) -> DataFrame:
-    return inventory.policy_comparison(inventory.inventory_kpis(_replay(s, [POLICY])))
-
-
-@report
-def what_if_policies(s: Stages) -> DataFrame:
-    return inventory.inventory_kpis(_replay(s, SCENARIOS))
-
-
 def _recommended(s: Stages) -> DataFrame:
-    winner_blocks = _blocks(s).where(F.col("model_name") == "moving_average")
+    winner_blocks = _blocks(s).where(F.col("model_name") == s.winner())
     return inventory.recommendations(s.forecasts(), winner_blocks, POLICY, s.cfg.seed)
 
 
@@ -616,11 +592,6 @@ def recommendation_contract(s: Stages) -> DataFrame:
     return contracts.rule_counts(_recommended(s), contracts.recommendation_rules())
 
 
-@report
-def conservation_check(s: Stages) -> DataFrame:
-    return contracts.rule_counts(_replay(s, SCENARIOS), contracts.conservation_rules())
-
-
 # Learned models (values depend on the learner; checked by rows) ------------
 
 
@@ -664,4 +635,4 @@ def learned_final_forecast(s: Stages) -> DataFrame:
 @report
 def glm_attribution(s: Stages) -> DataFrame:
     forecaster, _ = jobs.final_learned(s.training(), s.future(), "tweedie", s.cfg)
-    return attribution.attribution_global(forecaster.explain(sampling.sample_rows(s.future(), ["series_id", "horizon"], 2000, s.cfg.seed)))
+    return attribution.attribution_global(forecaster.explain(s.future()))

@@ -92,15 +92,25 @@ class Stages:
     def summary(self) -> DataFrame:
         return self._once("summary", lambda: selection.model_summary(self.backtests(), self.details()))
 
-    def forecasts(self, model: str = "moving_average") -> DataFrame:
-        """Bottom-level forecasts of one baseline from the final origin."""
+    def blind_daily(self, origin: int) -> DataFrame:
+        """The panel as it would be if nothing had been sold after the origin."""
+        sold = self.sales_table().where(F.col("day_num") <= origin)
+        dense = panel.densify(self.sales_table().withColumn("units", F.when(F.col("day_num") <= origin, F.col("units")).otherwise(0.0)), 1, retail.LAST_DAY)
+        return panel.join_daily(dense, self.calendar(), retail.weekly_prices(sold))
+
+    def forecasts(self, model: str | None = None) -> DataFrame:
+        """Bottom-level forecasts of one baseline, the winner by default, from the final origin."""
+        model = model or self.winner()
         return self._once(
             f"forecasts-{model}",
             lambda: baselines.final_baseline(self.training(), self.future(), model, self.cfg).drop("fold_origin"),
         )
 
     def winner(self) -> str:
-        return selection.select_winner(self.summary(), self.cfg.guardrails).first()["model_name"]
+        """Name of the selected model; found once per session."""
+        return self._once(
+            "winner", lambda: selection.select_winner(self.summary(), self.cfg.guardrails).select("model_name")
+        ).first()["model_name"]
 
     def csv_folder(self, export: Callable[[str], None]) -> str:
         """Folder of CSV sources, written by ``export`` on first use."""

@@ -67,7 +67,7 @@ class Settings:
     """Design of the direct multi-horizon data set and of the backtest."""
 
     horizon: int = 28
-    history_days: int = 728
+    history_days: int = 730
     origin_step: int = 28
     forecast_origin: int = 2471
     backtest_origins: tuple[int, ...] = (2387, 2415, 2443)

@@ -7,7 +7,7 @@ carry the volume of ``lineitem``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandloom.settings import SERIES_KEYS
@@ -15,6 +15,9 @@ from demandloom.settings import SERIES_KEYS
 # Fixed values of the mapping.
 DAY_ZERO = "1995-01-01"
 LAST_DAY = 2499
+LAST_WEEK = (LAST_DAY - 1) // 7 + 1
+# A forecast reaches 28 days ahead: a price set five weeks before is known at every origin that asks for it.
+PRICE_LEAD_WEEKS = 5
 DEPARTMENTS = ("FOODS_1", "FOODS_2", "HOUSEHOLD_1", "HOUSEHOLD_2", "HOBBIES_1")
 STORES = ("CA_1", "CA_2", "TX_1", "TX_2", "WI_1")
 
@@ -27,12 +30,18 @@ def _pick(values: tuple[str, ...], position: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (position + 1).cast("int"))
 
 
-def item_dimension(part: DataFrame) -> DataFrame:
+def item_dimension(part: DataFrame, key: str = "brand") -> DataFrame:
+    """Items by ``key``: "brand" (25), "brand_type" (brand and first word of the type, 150) or "part" (one per part)."""
+    suffix = {
+        "brand": [],
+        "brand_type": [F.substring_index("p_type", " ", 1)],
+        "part": [F.col("p_partkey").cast("string")],
+    }[key]
     brand = F.regexp_extract("p_brand", r"#(\d+)", 1).cast("int")
     dept = _pick(DEPARTMENTS, F.floor((brand - 1) / 5))
     return part.select(
         F.col("p_partkey").alias("l_partkey"),
-        F.concat_ws("_", dept, F.lpad(brand.cast("string"), 3, "0")).alias("item_id"),
+        F.concat_ws("_", dept, F.lpad(brand.cast("string"), 3, "0"), *suffix).alias("item_id"),
         dept.alias("dept_id"),
         F.substring_index(dept, "_", 1).alias("cat_id"),
     )
@@ -47,7 +56,7 @@ def store_dimension(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
-def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_sales(spark: SparkSession, sf_dir: str, item_key: str = "brand") -> DataFrame:
     """(series keys, day_num) -> units, revenue for days with sales.
 
     No join hints: the dimensions grow with the data, so Spark's size threshold
@@ -61,7 +70,7 @@ def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_quantity",
         F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
     )
-    items = item_dimension(load(spark, sf_dir, "part"))
+    items = item_dimension(load(spark, sf_dir, "part"), item_key)
     stores = store_dimension(load(spark, sf_dir, "supplier"), load(spark, sf_dir, "nation"))
     return (
         lines.join(items, "l_partkey")
@@ -110,14 +119,28 @@ def calendar(spark: SparkSession, last_day: int = LAST_DAY) -> DataFrame:
     )
 
 
-def weekly_prices(sales: DataFrame) -> DataFrame:
-    """Average selling price per store, item and week; weeks without sales have no row."""
+def weekly_prices(sales: DataFrame, last_week: int = LAST_WEEK, lead: int = PRICE_LEAD_WEEKS) -> DataFrame:
+    """Price list per store, item and week: the newest average selling price known ``lead`` weeks before.
+
+    A list is set in advance, so a week's price never depends on sales of that week or of the weeks that a forecast
+    for it would have to predict. The price of a week with sales holds from ``lead`` weeks later until the next such
+    week's takes over; there is none before an item's first sale has become known.
+    """
     week = (F.floor((F.col("day_num") - 1) / 7) + 1).cast("int")
-    return (
-        sales.groupBy("store_id", "item_id", week.alias("wm_yr_wk"))
+    by_item = Window.partitionBy("store_id", "item_id").orderBy("_seen")
+    known = (
+        sales.groupBy("store_id", "item_id", week.alias("_seen"))
         .agg(
             F.sum(F.col("revenue").cast("decimal(18,2)")).cast("double").alias("revenue"),
             F.sum("units").alias("units"),
         )
-        .select("store_id", "item_id", "wm_yr_wk", (F.col("revenue") / F.col("units")).alias("sell_price"))
+        .withColumn("_first", F.col("_seen") + lead)
+        .withColumn("_last", F.least(F.coalesce(F.lead("_seen").over(by_item) + (lead - 1), F.lit(last_week)), F.lit(last_week)))
+        .where(F.col("_first") <= F.col("_last"))
+    )
+    return known.select(
+        "store_id",
+        "item_id",
+        F.explode(F.sequence("_first", "_last")).alias("wm_yr_wk"),
+        (F.col("revenue") / F.col("units")).alias("sell_price"),
     )

@@ -53,10 +53,12 @@ _LOCAL_FOLDER: list[str] = []
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a temporary one only where none is set (tests)."""
+    """Shared folder named by the cluster; a temporary one only in a local session that names none."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not _LOCAL_FOLDER:
         _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="spark-demandloom-"))
     return _LOCAL_FOLDER[0]

@@ -84,11 +84,16 @@ SELECT 'd_' || n AS d, CAST(n AS INT) AS day_num, date, CAST((n - 1) // 7 + 1 AS
        CAST(day(date) BETWEEN 5 AND 15 AS INT) AS snap_WI
 FROM (SELECT n, DATE '1995-01-01' + CAST(n AS INT) AS date FROM generate_series(1, 2499) g(n))
 """)
-cte("prices", """
-SELECT store_id, item_id, CAST((day_num - 1) // 7 + 1 AS INT) AS wm_yr_wk,
+cte("paid", """
+SELECT store_id, item_id, (day_num - 1) // 7 + 1 AS seen,
        CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE) / sum(units) AS sell_price
 FROM sales GROUP BY ALL
 """, "sales")
+cte("prices", """
+SELECT p.store_id, p.item_id, CAST(w AS INT) AS wm_yr_wk, arg_max(sell_price, seen) AS sell_price
+FROM paid p JOIN generate_series(1, 357) g(w) ON w >= seen + 5
+GROUP BY ALL
+""", "paid")
 cte("dense", f"""
 SELECT k.*, k.series_id || '_evaluation' AS id, 'd_' || n AS d, CAST(n AS INT) AS day_num,
        coalesce(s.units, 0.0) AS units
@@ -127,7 +132,8 @@ cte("feat", _feature_sql(), "daily")
 cte("lagged", "SELECT series_id, day_num, " + ", ".join(
     f"lag(units, {k}) OVER (PARTITION BY series_id ORDER BY day_num) AS target_lag_{k}" for k in TARGET_LAGS
 ) + " FROM daily", "daily")
-cte("origins", "SELECT CAST(o AS INT) AS o FROM range(1715, 2444, 28) r(o)")
+cte("origins", "SELECT CAST(o AS INT) AS o FROM range(1713, 2444, 28) r(o) UNION "
+    f"SELECT CAST(unnest([{', '.join(map(str, FOLDS))}]) AS INT)")
 cte("steps", "SELECT CAST(h AS INT) AS h FROM generate_series(1, 28) g(h)")
 
 
@@ -186,14 +192,16 @@ FROM (SELECT p.*, o.fold_origin, {_SORTED} AS qs
       FROM points p JOIN offsets o ON o.model_name = p.model_name AND o.fold_origin = p.origin_day
            AND o.horizon = p.horizon)""", "points", "offsets")
 cte("final_offsets", f"""
-SELECT horizon, {_Q} FROM (SELECT horizon, target - yhat AS residual FROM points
- WHERE model_name = 'moving_average' AND origin_day + horizon <= {ORIGIN}) GROUP BY ALL""", "points")
+SELECT model_name, horizon, {_Q} FROM (SELECT model_name, horizon, target - yhat AS residual FROM points
+ WHERE origin_day + horizon <= {ORIGIN}) GROUP BY ALL""", "points")
+cte("winner", "SELECT model_name FROM judged ORDER BY eligible DESC, mean_wrmsse, model_name LIMIT 1", "judged")
 cte("forecasts", f"""
 SELECT {IDS}, origin_day, origin_date, horizon, target_date, unit_price, model_name, yhat,
        qs[1] AS q05, qs[2] AS q50, qs[3] AS q95
 FROM (SELECT f.*, {_SORTED} AS qs FROM
-      ({_POINT}, target_sell_price AS unit_price, 'moving_average' AS model_name, {_AVERAGE} AS yhat FROM future) f
-      JOIN final_offsets USING (horizon))""", "future", "final_offsets")
+      ({_POINT}, target_sell_price AS unit_price, 'moving_average' AS model_name, {_AVERAGE} AS yhat FROM future
+       UNION ALL {_POINT}, target_sell_price, 'seasonal_naive', {_NAIVE} FROM future) f
+      JOIN final_offsets USING (model_name, horizon) JOIN winner USING (model_name))""", "future", "final_offsets", "winner")
 
 
 def _bridge_sql() -> str:
@@ -296,58 +304,15 @@ JOIN numbered b ON b.model_name = k.model_name AND b.row_index = pick""", "numbe
 cte("latest", """
 SELECT *, CAST(row_number() OVER (PARTITION BY model_name, series_id ORDER BY target_date) - 1 AS INT) AS day_index
 FROM backtests WHERE fold_origin = (SELECT max(fold_origin) FROM backtests)""", "backtests")
-POLICY_COLUMNS = "policy, lead_days, review_days, service_level, order_cost, annual_holding_rate, stockout_multiplier, initial_on_hand"
-cte("policy_base", f"SELECT * FROM (VALUES ('base', 7, 7, 0.95, 5.0, 0.2, 1.0, CAST(NULL AS DOUBLE))) t({POLICY_COLUMNS})")
-cte("policy_all", f"""SELECT * FROM (VALUES ('base', 7, 7, 0.95, 5.0, 0.2, 1.0, CAST(NULL AS DOUBLE)),
- ('fast', 3, 7, 0.95, 5.0, 0.2, 1.0, NULL), ('slow', 14, 14, 0.9, 5.0, 0.2, 1.0, NULL),
- ('lean', 7, 7, 0.8, 5.0, 0.2, 1.0, 50.0)) t({POLICY_COLUMNS})""")
-for _kind in ("base", "all"):
-    cte(f"levels_{_kind}", f"""
-WITH wanted AS (SELECT policy, service_level, lead_days + review_days AS span, model_name, series_id, day_index AS draw
-                FROM latest, policy_{_kind} WHERE day_index % review_days = 0),
-     sums AS (SELECT w.policy, w.service_level, w.model_name, w.series_id, w.draw, s.path,
-                     sum(greatest(f.yhat + s.block[f.day_index - w.draw + 1], 0.0)) AS total
-              FROM wanted w JOIN latest f ON f.model_name = w.model_name AND f.series_id = w.series_id
-                   AND f.day_index >= w.draw AND f.day_index < w.draw + w.span
-              JOIN sample s ON s.model_name = w.model_name AND s.draw = w.draw GROUP BY ALL)
-SELECT policy, model_name, series_id, draw AS day_index,
-       CASE max(service_level) WHEN 0.95 THEN quantile_cont(total, 0.95) WHEN 0.9 THEN quantile_cont(total, 0.9)
-            ELSE quantile_cont(total, 0.8) END AS level
-FROM sums GROUP BY policy, model_name, series_id, draw""", "latest", "sample", f"policy_{_kind}")
-    cte(f"replay_{_kind}", f"""
-SELECT p.policy, r.model_name, r.series_id, r.target_date, demand, forecast, arrivals, sales, demand - sales AS lost_sales,
-       on_hand AS ending_on_hand, position AS inventory_position, level AS order_up_to, ordered AS order_quantity,
-       on_hand * unit_price * annual_holding_rate / 365 AS holding_cost,
-       CASE WHEN ordered > 0 THEN order_cost ELSE 0.0 END AS ordering_cost,
-       (demand - sales) * unit_price * stockout_multiplier AS stockout_cost
-FROM run_{_kind} r JOIN policy_{_kind} p USING (policy) WHERE day_index >= 0""", f"run_{_kind}")
-    cte(f"run_{_kind}", f"""
-SELECT policy, model_name, series_id, -1 AS day_index, CAST(NULL AS DATE) AS target_date, 0.0::DOUBLE AS demand,
-       0.0::DOUBLE AS forecast, 0.0::DOUBLE AS unit_price, 0.0::DOUBLE AS arrivals, 0.0::DOUBLE AS sales,
-       coalesce(initial_on_hand, level)::DOUBLE AS on_hand, 0.0::DOUBLE AS position, CAST(NULL AS DOUBLE) AS level,
-       0.0::DOUBLE AS ordered, list_resize([]::DOUBLE[], lead_days, 0.0::DOUBLE) AS pending
-FROM levels_{_kind} JOIN policy_{_kind} USING (policy) WHERE day_index = 0
-UNION ALL
-SELECT policy, model_name, series_id, day_index, target_date, demand, forecast, unit_price, arrivals, sales,
-       stocked - sales, position, level, ordered, list_append(pending[2:], ordered)
-FROM (SELECT *, CASE WHEN level - position > 1e-9 THEN level - position ELSE 0.0 END AS ordered
-      FROM (SELECT *, stocked - sales + coalesce(list_sum(pending[2:]), 0.0) AS position
-            FROM (SELECT r.policy, r.model_name, r.series_id, d.day_index, d.target_date, d.target AS demand,
-                         d.yhat AS forecast, d.unit_price, r.pending[1] AS arrivals, r.pending,
-                         r.on_hand + r.pending[1] AS stocked, least(r.on_hand + r.pending[1], d.target) AS sales, l.level
-                  FROM run_{_kind} r
-                  JOIN latest d ON d.model_name = r.model_name AND d.series_id = r.series_id AND d.day_index = r.day_index + 1
-                  LEFT JOIN levels_{_kind} l ON l.policy = r.policy AND l.model_name = r.model_name
-                       AND l.series_id = r.series_id AND l.day_index = d.day_index)))""",
-        f"levels_{_kind}", "latest", f"policy_{_kind}")
-    cte(f"kpis_{_kind}", f"""
-SELECT *, holding_cost + ordering_cost + stockout_cost AS total_cost FROM (
-SELECT policy, model_name, series_id, sum(sales) / greatest(sum(demand), 1e-12) AS fill_rate,
-       avg(CAST(lost_sales > 0 AS DOUBLE)) AS stockout_rate, avg(ending_on_hand) AS average_inventory,
-       CAST(count(*) FILTER (order_quantity > 0) AS DOUBLE) AS order_count, sum(order_quantity) AS units_ordered,
-       sum(lost_sales) AS lost_sales_units, sum(holding_cost) AS holding_cost, sum(ordering_cost) AS ordering_cost,
-       sum(stockout_cost) AS stockout_cost
-FROM replay_{_kind} GROUP BY ALL)""", f"replay_{_kind}")
+cte("levels", """
+WITH sums AS (SELECT w.model_name, w.series_id, w.day_index AS draw, s.path,
+                     sum(greatest(f.yhat + s.block[f.day_index - w.day_index + 1], 0.0)) AS total
+              FROM latest w JOIN latest f ON f.model_name = w.model_name AND f.series_id = w.series_id
+                   AND f.day_index >= w.day_index AND f.day_index < w.day_index + 14
+              JOIN sample s ON s.model_name = w.model_name AND s.draw = w.day_index
+              WHERE w.day_index % 7 = 0 GROUP BY ALL)
+SELECT 'base' AS policy, model_name, series_id, draw AS day_index, quantile_cont(total, 0.95) AS level
+FROM sums GROUP BY model_name, series_id, draw""", "latest", "sample")
 cte("advice", """
 WITH ordered AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY target_date) AS k FROM forecasts),
      sums AS (SELECT series_id, path, min(origin_date) AS as_of_date,

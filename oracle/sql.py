@@ -10,8 +10,6 @@ from oracle.ctes import (
 ORACLES: dict[str, str] = {}
 TLAGS = [f"target_lag_{k}" for k in TARGET_LAGS]
 PRICED = ["target_sell_price", "price_ratio_to_origin", "price_ratio_to_mean_28"]
-KPIS = ["fill_rate", "stockout_rate", "average_inventory", "order_count", "units_ordered", "lost_sales_units",
-        "holding_cost", "ordering_cost", "stockout_cost", "total_cost"]
 QS = ["yhat", "q05", "q50", "q95"]
 
 
@@ -260,16 +258,7 @@ WHERE abs(round(bias, 10)) <= 0.05 ORDER BY round(wape, 10), weight, s LIMIT 1""
 # Inventory
 add("residual_blocks", """
 SELECT model_name, fold_origin, series_id, CAST(unnest(range(0, 28)) AS INT) AS step, unnest(block) AS residual FROM blocks""", "blocks", rounded=["residual"])
-add("order_up_to_bootstrap", "SELECT * FROM levels_base", "levels_base", rounded=["level"])
-REPLAY = ["demand", "forecast", "arrivals", "sales", "lost_sales", "ending_on_hand", "inventory_position", "order_up_to",
-          "order_quantity", "holding_cost", "ordering_cost", "stockout_cost"]
-add("inventory_replay", "SELECT * FROM replay_base", "replay_base", rounded=REPLAY)
-add("inventory_kpis", "SELECT * FROM kpis_base", "kpis_base", rounded=KPIS)
-add("policy_comparison", """
-SELECT policy, model_name, avg(fill_rate) AS fill_rate, avg(stockout_rate) AS stockout_rate, avg(average_inventory) AS average_inventory,
-       sum(lost_sales_units) AS lost_sales_units, sum(total_cost) AS total_cost FROM kpis_base GROUP BY ALL""", "kpis_base",
-    rounded=["fill_rate", "stockout_rate", "average_inventory", "lost_sales_units", "total_cost"])
-add("what_if_policies", "SELECT * FROM kpis_all", "kpis_all", rounded=KPIS)
+add("order_up_to_bootstrap", "SELECT * FROM levels", "levels", rounded=["level"])
 ADVICE = ["service_level", "on_hand", "reorder_point", "order_up_to", "suggested_order_quantity"]
 add("recommendations", "SELECT * FROM advice", "advice", rounded=ADVICE)
 add("largest_order", "SELECT series_id, suggested_order_quantity FROM advice ORDER BY suggested_order_quantity DESC, series_id LIMIT 1",
@@ -332,6 +321,4 @@ add("recommendation_contract", rules("advice", {
     "lead_time_positive": "lead_time_days > 0", "review_period_positive": "review_period_days > 0",
     "service_level_inside": "service_level > 0 AND service_level < 1",
     **{f"{c}_not_negative": f"{c} >= 0" for c in ("on_hand", "reorder_point", "order_up_to", "suggested_order_quantity")}}), "advice")
-add("conservation_check", rules("replay_all", {
-    "demand_conserved": "abs(sales + lost_sales - demand) <= 1e-6", "stock_not_negative": "ending_on_hand >= 0"}), "replay_all")
-
+add("future_blind_audit", "SELECT count(*) AS row_count, 0 AS differences FROM train WHERE origin_day = 2443", "train")
