@@ -15,6 +15,7 @@ whole; other columns of the input are not read. A broken length, payload or inde
 
 from __future__ import annotations
 
+import itertools
 import os
 import uuid
 import zlib
@@ -80,10 +81,13 @@ class WordCoder:
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
+        self.parts: dict[str, int] = {"": 0}
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.bounds = np.zeros(1 << 12, np.int64)
+        self.bounds = np.zeros(1 << 12, np.int64)  # of the ids of each part
+        self.pairs = np.zeros((1 << 12, 2), np.int64)  # word and signs of each known word
 
-    def _parts(self, word: str) -> tuple[str, str]:
+    @staticmethod
+    def _split(word: str) -> tuple[str, str]:
         """A word and the signs at its end; the tokenizer lowers letters and never joins them with signs."""
         if not word.isascii() or "<|" in word:
             return word, ""
@@ -91,40 +95,36 @@ class WordCoder:
         return (core.lower(), word[len(core):]) if core else (word, "")
 
     def _learn(self, words: list[str]) -> None:
-        parts = [self._parts(word) for word in words]
-        asked = list(set().union(*parts) - {""} - self.known.keys())
-        spelled = dict(zip(asked, (e.ids for e in self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)), strict=True))
-        rows = [[i for part in pair if part for i in self._ids(part, spelled)] for pair in parts]
+        cores, tails = zip(*map(self._split, words), strict=True)
+        asked = list(set(cores).union(tails) - self.parts.keys())
+        rows = [e.ids for e in self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)]
         counts = np.fromiter(map(len, rows), np.int64, len(rows))
-        ids = np.fromiter((i for row in rows for i in row), np.uint32, int(counts.sum()))
-        have, filled = len(self.known), int(self.bounds[len(self.known)])
-        while len(self.flat) < filled + len(ids):
-            self.flat = np.r_[self.flat, np.zeros(len(self.flat), np.uint32)]
-        while len(self.bounds) < have + len(words) + 1:
-            self.bounds = np.r_[self.bounds, np.zeros(len(self.bounds), np.int64)]
+        ids = np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(counts.sum()))
+        have, filled = len(self.parts), int(self.bounds[len(self.parts)])
+        self.flat = _room(self.flat, filled + len(ids))
+        self.bounds = _room(self.bounds, have + len(asked) + 1)
         self.flat[filled: filled + len(ids)] = ids
-        self.bounds[have + 1: have + len(words) + 1] = filled + np.cumsum(counts)
+        self.bounds[have + 1: have + len(asked) + 1] = filled + np.cumsum(counts)
+        self.parts.update(zip(asked, range(have, have + len(asked)), strict=True))
+        have = len(self.known)
+        self.pairs = _room(self.pairs, have + len(words))
+        for k, part in enumerate((cores, tails)):
+            self.pairs[have: have + len(words), k] = np.fromiter(map(self.parts.__getitem__, part), np.int64, len(words))
         self.known.update(zip(words, range(have, have + len(words)), strict=True))
 
-    def _ids(self, part: str, spelled: dict[str, list[int]]) -> list[int]:
-        if part in spelled:
-            return spelled[part]
-        at = self.known[part]
-        return self.flat[self.bounds[at]: self.bounds[at + 1]].tolist()
-
     def encode(self, texts: Sequence[str], end_id: int) -> list[np.ndarray]:
         """Ids of every text, each with the end id."""
         split = [text.replace("\n", " ").split(" ") for text in texts]
         if len(self.known) > KEPT_WORDS:
             self._clear()
         fresh = list(set().union(*split) - self.known.keys())
-        for first in range(0, len(fresh), 20_000):
-            self._learn(fresh[first: first + 20_000])
+        for first in range(0, len(fresh), 50_000):
+            self._learn(fresh[first: first + 50_000])
         out = []
         for words in split:
-            index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-            starts = self.bounds[index]
-            counts = self.bounds[index + 1] - starts
+            part = self.pairs[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))].ravel()
+            starts = self.bounds[part]
+            counts = self.bounds[part + 1] - starts
             ids = np.empty(int(counts.sum()) + 1, np.uint32)
             ids[:-1] = self.flat[ranges(starts, counts)]
             ids[-1] = end_id
@@ -132,6 +132,13 @@ class WordCoder:
         return out
 
 
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, doubled until it has room."""
+    while len(array) < size:
+        array = np.concatenate([array, np.zeros_like(array)])
+    return array
+
+
 _CODERS: dict[str, WordCoder] = {}
 
 
