@@ -77,42 +77,64 @@ KNOWN = (
 )
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form of a text; empty where nothing is left."""
-    # a copyright line: optional comment signs, then the word or sign, a year or name, to the end of the line
-    text = F.lower(F.coalesce(text, F.lit("")))
-    mark = r"(?m)^[^\p{L}\p{N}(©\n]*(copyright\b(?! (notice|holder|owner)).*|\(c\).*|©.*|all rights reserved[. ]*)$"
-    named = F.contains(text, F.lit("copyright")) | F.contains(text, F.lit("(c)")) | F.contains(text, F.lit("©"))
-    text = F.when(named | F.contains(text, F.lit("all rights reserved")), F.regexp_replace(text, mark, " ")).otherwise(text)
+#: Spellings change the length of a text by this factor at most.
+STRETCH = max(max(len(a) / len(b), len(b) / len(a)) for a, b in SPELLINGS)
+#: A copyright line: optional signs, then the word or sign and anything behind it.
+COPYRIGHT = r"(?s)^[^\p{L}\p{N}(©]*(copyright\b(?! (notice|holder|owner)).*|\(c\).*|©.*|all rights reserved[. ]*)$"
+
+
+def stripped(line: Column) -> Column:
+    """A line in lower case, letters and digits only, single blanks between words; empty for a copyright line."""
+    line = F.lower(line)
+    named = F.contains(line, F.lit("copyright")) | F.contains(line, F.lit("(c)")) | F.contains(line, F.lit("©"))
+    named |= F.contains(line, F.lit("all rights reserved"))
+    words = F.trim(F.regexp_replace(line, r"[^\p{L}\p{N}]+", " "))
+    return F.when(named & line.rlike(COPYRIGHT), F.lit("")).otherwise(words)
+
+
+def respelled(words: Column) -> Column:
+    """Equivalent spellings made equal."""
     # two blanks between words, so that neighbours can both be replaced
-    text = F.concat(F.lit(" "), F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}]+", "  ")), F.lit(" "))
+    text = F.concat(F.lit(" "), F.replace(words, F.lit(" "), F.lit("  ")), F.lit(" "))
     for written, used in SPELLINGS:
-        text = F.replace(text, F.lit(f" {written} ".replace(" ", "  ")[1:-1]), F.lit(f" {used} ".replace(" ", "  ")[1:-1]))
+        text = F.replace(text, F.lit(f" {written.replace(' ', '  ')} "), F.lit(f" {used.replace(' ', '  ')} "))
     return F.trim(text)
 
 
-def digest(text: Column) -> Column:
-    """Digest of the canonical form; never null, so that no filter repeats the work."""
-    return F.sha2(canonical(text), 256)
+def units(texts: DataFrame) -> DataFrame:
+    """id, line (null for the whole), words: the stripped form of each line and of the text that the lines make."""
+    lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), stripped)
+    texts = texts.select("id", lines.alias("lines"))
+    whole = F.struct(
+        F.lit(None).cast("int").alias("line"), F.array_join(F.filter("lines", lambda s: s != ""), " ").alias("words")
+    )
+    each = F.transform("lines", lambda s, k: F.struct(k.alias("line"), s.alias("words")))
+    return texts.select("id", F.when(F.size("lines") > 1, F.concat(each, F.array(whole))).otherwise(each).alias("units"))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """doc_id, line (null for the whole document), licence and digest of every entire text that is a known one."""
+    """doc_id, line (null for the whole document), licence and digest of every entire text that is a known one.
+
+    A text whose stripped length no known text can have, spellings considered, is left out before it is respelled.
+    """
     spark = docs.sparkSession
     if known is None:
         known = spark.createDataFrame(KNOWN, "licence string, known_text string")
-    known = known.where(canonical(F.col("known_text")) != "")
-    table = known.select("licence", digest(F.col("known_text")).alias("digest"))
-    table = table.groupBy("digest").agg(F.min("licence").alias("licence"))
-    if table.count() <= BROADCAST_ROWS:
+    forms = units(known.select(F.col("licence").alias("id"), F.col("known_text").alias("text")))
+    forms = forms.select("id", respelled(F.element_at("units", -1)["words"]).alias("form")).where("form <> ''")
+    table = forms.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("id").alias("licence"))
+    size = forms.agg(F.count("*"), F.min(F.length("form")), F.max(F.length("form"))).first()
+    if size[0] <= BROADCAST_ROWS:
         table = F.broadcast(table)
-    texts = docs.select(F.col("doc_id"), F.col("text"))
-    lines = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "unit"))
-    whole = texts.where(F.instr("text", "\n") > 0).select("doc_id", F.lit(None).cast("int").alias("line"), F.col("text").alias("unit"))
-    units = lines.unionByName(whole)
+    least, most = (size[1] or 1) / STRETCH, (size[2] or 0) * STRETCH
+    found = units(docs.select(F.col("doc_id").alias("id"), "text"))
+    likely = F.filter("units", lambda u: F.length(u["words"]).between(least, most))
+    # the outer form, as Spark would otherwise evaluate the whole expression once more to skip empty arrays
+    found = found.select("id", F.inline_outer(likely)).where("words IS NOT NULL")
     return (
-        units.select("doc_id", F.col("line").cast("long").alias("line"), digest(F.col("unit")).alias("digest"))
+        found.select(
+            F.col("id").alias("doc_id"), F.col("line").cast("long").alias("line"), F.sha2(respelled(F.col("words")), 256).alias("digest")
+        )
         .join(table, "digest")
         .select("doc_id", "line", "licence", "digest")
     )
-
