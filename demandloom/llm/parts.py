@@ -91,7 +91,7 @@ def part_table(path: str, part: int, columns: list[str]) -> pa.Table | None:
                     tables.append(pq.ParquetFile(opened).read(columns=columns))
             table = pa.concat_tables(tables) if tables else None
         _PARTS[key] = table
-        while len(_PARTS) > 4:
+        while len(_PARTS) > 2:
             _PARTS.popitem(last=False)
     return _PARTS[key]
 

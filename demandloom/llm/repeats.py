@@ -22,8 +22,8 @@ whole documents; an empty table gives an empty result; other columns are not rea
 
 from __future__ import annotations
 
+import functools
 import hashlib
-from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,7 +38,7 @@ WINDOW, GRAM = 50, 16
 #: Documents with the same minimiser from which its windows travel alone.
 HOT = 400
 #: Runs that a task gathers before it sends them.
-SENT_RUNS = 2_000_000
+SENT_RUNS = 800_000
 
 
 # -- runs of a text ---------------------------------------------------------------------------------------------------
@@ -136,9 +136,21 @@ def seen_runs(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
 def shared_hashes(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """For every part its hashes that several documents have, and whether more than `most` documents do."""
-    rows = [row for batch in batches for row in batch.to_pylist()]
-    if not rows:
-        return
+    for rows in by_bucket(batches):
+        yield from _shared_hashes(rows, most)
+
+
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The packed rows of one bucket after another, so that only one bucket is unpacked at a time."""
+    held: dict[int, list[dict]] = {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            held.setdefault(row["bucket"], []).append(row)
+    while held:
+        yield held.pop(next(iter(held)))
+
+
+def _shared_hashes(rows: list[dict], most: int) -> Iterator[pa.RecordBatch]:
     h = np.concatenate([hashes_of(r["hashes"]) for r in rows])
     low = np.concatenate([unpack(r["low"]) for r in rows])
     high, n = low.copy(), np.ones(len(h), np.int64)
@@ -165,6 +177,7 @@ def shared_hashes(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.R
         )
 
 
+@functools.lru_cache(maxsize=2)
 def known(path: str, part: int) -> tuple[np.ndarray, np.ndarray]:
     """Ascending shared hashes of a part, and whether each is hot."""
     table = part_table(path, part, ["hashes", "hot"])
@@ -254,7 +267,11 @@ FOUND = "part long, keys binary, low binary, piece_at binary, piece_first binary
 
 def smallest_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For every part: the smallest id of each run sent, and of stretches of its windows where a smaller one has those."""
-    rows = [row for batch in batches for row in batch.to_pylist()]
+    for rows in by_bucket(batches):
+        yield from _smallest_ids(rows)
+
+
+def _smallest_ids(rows: list[dict]) -> Iterator[pa.RecordBatch]:
     cold, hot = [r for r in rows if not r["hot"]], [r for r in rows if r["hot"]]
     empty = np.zeros(0, np.int64)
     results = []
@@ -352,17 +369,9 @@ class Verdicts:
         return np.searchsorted(self.keys, keys)
 
 
-_VERDICTS: OrderedDict[tuple[str, int], Verdicts] = OrderedDict()
-
-
+@functools.lru_cache(maxsize=2)
 def verdicts(path: str, part: int) -> Verdicts:
-    key = (path, part)
-    if key not in _VERDICTS:
-        names = ["keys", "low", "piece_at", "piece_first", "piece_last", "piece_low"]
-        _VERDICTS[key] = Verdicts(part_table(path, part, names))
-        while len(_VERDICTS) > 2:
-            _VERDICTS.popitem(last=False)
-    return _VERDICTS[key]
+    return Verdicts(part_table(path, part, ["keys", "low", "piece_at", "piece_first", "piece_last", "piece_low"]))
 
 
 # -- pass 3: removal --------------------------------------------------------------------------------------------------
