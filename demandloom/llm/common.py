@@ -10,8 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of spans hashed in one NumPy step.
+HASHED_BYTES = 1 << 20
 #: Text bytes handled by one NumPy step; longer batches are cut between documents.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,11 +128,15 @@ def powers(count: int) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each of the ordered, disjoint byte spans; equal spans hash equally everywhere."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+    """64-bit hash of each of the byte spans; equal spans hash equally everywhere."""
     lengths = ends - starts
     total = int(lengths.sum())
+    if total > 2 * HASHED_BYTES and len(starts) > 1:  # spans may overlap, so their bytes may be many more than the data's
+        half = min(max(int(np.searchsorted(np.cumsum(lengths), total // 2)), 1), len(starts) - 1)
+        parts = [span_hashes(data, starts[:half], ends[:half]), span_hashes(data, starts[half:], ends[half:])]
+        return np.concatenate(parts)
+    if not len(starts):
+        return np.zeros(0, np.uint64)
     begin = np.cumsum(lengths) - lengths
     within = np.arange(total, dtype=np.int64) - np.repeat(begin, lengths)
     at = within + np.repeat(starts, lengths)

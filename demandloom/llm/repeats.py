@@ -405,11 +405,12 @@ def _tables(docs: DataFrame, hot: int) -> tuple[DataFrame, str, str]:
     """Rows with their part, and the stored results of the first two passes."""
     spark = docs.sparkSession
     rows = with_part(docs)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seen = rows.mapInArrow(seen_runs(8 * tasks), SEEN).repartition(tasks, "bucket")
+    # small partitions: each is unpacked in the memory of one Python worker
+    tasks = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    seen = rows.mapInArrow(seen_runs(4 * tasks), SEEN).repartition(tasks, "bucket")
     shared = seen.mapInArrow(lambda batches: shared_hashes(batches, hot), "part long, hashes binary, hot binary")
     shared = stored_by_part(shared, "repeat-shared")
-    sent = rows.mapInArrow(sent_runs(shared, 8 * tasks), SENT).repartition(tasks, "bucket")
+    sent = rows.mapInArrow(sent_runs(shared, 4 * tasks), SENT).repartition(tasks, "bucket")
     found = stored_by_part(sent.mapInArrow(smallest_ids, FOUND), "repeat-found")
     return rows, shared, found
 
