@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -208,11 +209,16 @@ def load_forecaster(spark, path: str) -> DirectForecaster:
     )
 
 
-# Fixed candidate grids of the temporal search.
+def candidates(**choices: Sequence[object]) -> tuple[dict[str, object], ...]:
+    """All combinations of the parameters' values."""
+    return tuple(dict(zip(choices, values, strict=True)) for values in itertools.product(*choices.values()))
+
+
+# Candidate grids of the temporal search; `search_parameters` takes any other.
 SEARCH_GRID: dict[str, tuple[dict[str, object], ...]] = {
-    "tweedie": tuple({"regParam": r} for r in (0.001, 0.01, 0.1)),
-    "poisson": tuple({"regParam": r} for r in (0.001, 0.01, 0.1)),
-    "gbt": ({"maxIter": 10, "maxDepth": 4}, {"maxIter": 20, "maxDepth": 5}),
+    "tweedie": candidates(regParam=(0.001, 0.01, 0.1), variancePower=(1.1, 1.3, 1.5)),
+    "poisson": candidates(regParam=(0.001, 0.01, 0.1), maxIter=(15, 30)),
+    "gbt": candidates(maxIter=(10, 20), maxDepth=(4, 6), stepSize=(0.05, 0.1), subsamplingRate=(0.8,)),
 }
 
 
@@ -268,7 +274,7 @@ OBJECTIVES: dict[str, tuple[str, dict[str, object]]] = {
     "tweedie_1.1": ("tweedie", {"variancePower": 1.1}),
     "tweedie_1.2": ("tweedie", {"variancePower": 1.2}),
     "tweedie_1.5": ("tweedie", {"variancePower": 1.5}),
-    "l1": ("absolute", {"maxIter": 10}),
+    "l1": ("absolute", {}),
     "poisson": ("poisson", {}),
     "huber": ("huber", {}),
 }

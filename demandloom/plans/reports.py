@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandloom.functions.exprs import model_label
+from demandloom.functions.exprs import is_finite, model_label
 from demandloom.operators import (
     accuracy, adjust, attribution, baselines, contracts, features, hierarchy, inventory, learned, panel, profile,
     sampling, selection,
@@ -17,6 +19,7 @@ from demandloom.plans import jobs
 from demandloom.plans.stages import Stages
 from demandloom.settings import SERIES_KEYS, ReplayPolicy
 from demandloom.sources import retail
+from demandloom.sources.tables import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -592,47 +595,110 @@ def recommendation_contract(s: Stages) -> DataFrame:
     return contracts.rule_counts(_recommended(s), contracts.recommendation_rules())
 
 
-# Learned models (values depend on the learner; checked by rows) ------------
+# Learned models ------------------------------------------------------------
+#
+# Fitted numbers depend on the learner's arithmetic. These queries fit and forecast in full and return what must hold
+# whatever the digits are: the rows forecast, and properties of every forecast.
+
+
+def _sound(forecast: DataFrame, *keys: str) -> DataFrame:
+    """Keys of every forecast row, whether its quantiles are ordered, and whether all are finite and non-negative."""
+    points = ("yhat", "q05", "q50", "q95")
+    return forecast.select(
+        *keys,
+        ((F.col("q05") <= F.col("q50")) & (F.col("q50") <= F.col("q95"))).alias("ordered"),
+        reduce(and_, [is_finite(F.col(c)) & (F.col(c) >= 0) for c in points]).alias("valid"),
+    )
+
+
+_FITTED: dict[tuple, tuple[learned.DirectForecaster, DataFrame]] = {}
+
+
+def _final_learned(s: Stages, kind: str) -> tuple[learned.DirectForecaster, DataFrame]:
+    """The learner fitted on all that is known, and its forecasts; fitted once per session."""
+    key = (s.spark.sparkContext.applicationId, s.sf_dir, s.cfg, kind)
+    if key not in _FITTED:
+        forecaster, forecast = jobs.final_learned(s.training(), s.future(), kind, s.cfg)
+        _FITTED[key] = forecaster, staged(forecast, f"final-{kind}")
+    return _FITTED[key]
+
+
+def _learned_backtest(s: Stages, kind: str) -> DataFrame:
+    fold = jobs.learned_fold(s.training(), max(s.cfg.backtest_origins), kind, s.cfg)
+    return _sound(fold, "model_name", "series_id", "origin_day", "horizon", "target")
 
 
 @report
 def tweedie_forecast(s: Stages) -> DataFrame:
-    return jobs.learned_fold(s.training(), max(s.cfg.backtest_origins), "tweedie", s.cfg)
+    return _learned_backtest(s, "tweedie")
 
 
 @report
 def gbt_forecast(s: Stages) -> DataFrame:
-    return jobs.learned_fold(s.training(), max(s.cfg.backtest_origins), "gbt", s.cfg)
+    return _learned_backtest(s, "gbt")
 
 
 @report
 def temporal_grid_search(s: Stages) -> DataFrame:
     train, _ = baselines.split_fold(s.training(), min(s.cfg.backtest_origins))
     _, table = learned.search_parameters(train, "tweedie", s.cfg.tune_fraction, s.cfg.seed)
-    return table.drop("parameters")
+    lowest = table.agg(F.min("wape").alias("lowest"))  # one row
+    return table.crossJoin(F.broadcast(lowest)).select(
+        "kind",
+        "candidate",
+        F.col("parameters")["regParam"].alias("reg_param"),
+        F.col("parameters")["variancePower"].alias("variance_power"),
+        is_finite(F.col("wape")).alias("scored"),
+        (~F.col("chosen") | (F.col("wape") == F.col("lowest"))).alias("chosen_is_lowest"),
+    )
 
 
 @report
 def hurdle_forecast(s: Stages) -> DataFrame:
     train, evaluation = baselines.split_fold(s.training(), max(s.cfg.backtest_origins))
     fit_rows, _ = baselines.validation_split(train)
-    return learned.hurdle_forecast(fit_rows, evaluation, s.cfg.seed).select(
-        "series_id", "horizon", "sale_probability", "sale_amount", "yhat"
+    made = learned.hurdle_forecast(fit_rows, evaluation, s.cfg.seed)
+    product = F.col("sale_probability") * F.col("sale_amount")
+    return made.select(
+        "series_id",
+        "horizon",
+        "target",
+        F.col("sale_probability").between(0, 1).alias("probable"),
+        ((F.col("sale_amount") >= 0) & (F.abs(F.col("yhat") - product) <= 1e-9)).alias("product_holds"),
     )
 
 
 @report
 def objective_comparison(s: Stages) -> DataFrame:
     train, evaluation = baselines.split_fold(s.training(), max(s.cfg.backtest_origins))
-    return learned.compare_objectives(train, evaluation)
+    found = learned.compare_objectives(train, evaluation)
+    return found.select(
+        "variant",
+        (F.col("scale") > 0).alias("scaled"),
+        (is_finite(F.col("raw_wape")) & is_finite(F.col("adjusted_wape"))).alias("scored"),
+        # an error is never smaller than the bias it contains
+        ((F.col("raw_wape") >= F.abs("raw_bias") - 1e-9) & (F.col("adjusted_wape") >= F.abs("adjusted_bias") - 1e-9)).alias("consistent"),
+    )
 
 
 @report
 def learned_final_forecast(s: Stages) -> DataFrame:
-    return jobs.final_learned(s.training(), s.future(), "tweedie", s.cfg)[1].select(*SERIES_KEYS, "horizon", "yhat", "q05", "q50", "q95")
+    forecaster, forecast = _final_learned(s, "tweedie")
+    bounded = F.lit(0.8 <= forecaster.factor <= 1.25)
+    return _sound(forecast, *SERIES_KEYS, "origin_day", "horizon").withColumn("factor_bounded", bounded)
 
 
 @report
 def glm_attribution(s: Stages) -> DataFrame:
-    forecaster, _ = jobs.final_learned(s.training(), s.future(), "tweedie", s.cfg)
-    return attribution.attribution_global(forecaster.explain(s.future()))
+    """Every future row: its attributions and the base value give the model's own prediction."""
+    forecaster, _ = _final_learned(s, "tweedie")
+    explained = forecaster.explain(s.future())
+    total = F.col("base_value")
+    for name in attribution.attributed_features(explained):
+        total = total + F.col(f"{attribution.PREFIX}{name}")
+    # The attributed rows carry the horizon as the learner saw it.
+    summed = explained.select("series_id", F.col("horizon").alias("_seen"), F.exp(total).alias("summed"))
+    seen = learned.as_number("horizon", forecaster.linear)
+    predicted = forecaster.raw(s.future()).select("series_id", "horizon", seen.alias("_seen"), "yhat")
+    close = F.abs(F.col("summed") - F.col("yhat")) <= 1e-6 * F.greatest(F.col("yhat"), F.lit(1.0))
+    return summed.join(predicted, ["series_id", "_seen"]).select("series_id", "horizon", close.alias("adds_up"))

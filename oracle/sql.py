@@ -322,3 +322,20 @@ add("recommendation_contract", rules("advice", {
     "service_level_inside": "service_level > 0 AND service_level < 1",
     **{f"{c}_not_negative": f"{c} >= 0" for c in ("on_hand", "reorder_point", "order_up_to", "suggested_order_quantity")}}), "advice")
 add("future_blind_audit", "SELECT count(*) AS row_count, 0 AS differences FROM train WHERE origin_day = 2443", "train")
+
+# Learned models: the rows forecast, and properties that hold whatever the fitted digits are.
+for _kind in ("tweedie", "gbt"):
+    add(f"{_kind}_forecast", f"""
+SELECT '{_kind}' AS model_name, series_id, origin_day, horizon, target, true AS ordered, true AS valid
+FROM train WHERE origin_day = 2443""", "train", rounded=["target"])
+add("temporal_grid_search", """
+SELECT 'tweedie' AS kind, CAST(row_number() OVER (ORDER BY r, v) - 1 AS INT) AS candidate, CAST(r AS VARCHAR) AS reg_param,
+       CAST(v AS VARCHAR) AS variance_power, true AS scored, true AS chosen_is_lowest
+FROM (VALUES (0.001::DOUBLE), (0.01), (0.1)) a(r), (VALUES (1.1::DOUBLE), (1.3), (1.5)) b(v)""")
+add("hurdle_forecast", "SELECT series_id, horizon, target, true AS probable, true AS product_holds FROM train WHERE origin_day = 2443",
+    "train", rounded=["target"])
+add("objective_comparison", """
+SELECT unnest(['tweedie_1.1', 'tweedie_1.2', 'tweedie_1.5', 'l1', 'poisson', 'huber']) AS variant, true AS scaled, true AS scored,
+       true AS consistent""")
+add("learned_final_forecast", f"SELECT {IDS}, origin_day, horizon, true AS ordered, true AS valid, true AS factor_bounded FROM future", "future")
+add("glm_attribution", "SELECT series_id, horizon, true AS adds_up FROM future", "future")
