@@ -25,7 +25,8 @@ HEADLINE = (
     "forecast_features", "leakage_audit", "hierarchy_rollup", "node_scales", "hierarchical_wrmsse",
     "residual_calibration", "baseline_backtest", "backtest_summary", "wape_by_granularity", "model_summary",
     "threshold_scale_grid", "unbiased_scale_grid", "group_scale", "order_up_to_bootstrap", "recommendations", "attribution_global", "attribution_segment", "attribution_summary",
-    "final_forecast_hierarchy", "tweedie_forecast",
+    "final_forecast_hierarchy", "tweedie_forecast", "gbt_forecast", "learned_final_forecast", "glm_attribution",
+    "future_blind_audit", "lake_round_trip",
 )
 
 
@@ -76,6 +77,18 @@ def main() -> None:
         began = time.perf_counter()
         run(QUERIES[name](spark, sf_dir))
         timings[name] = round(time.perf_counter() - began, 3)
+    # The same panel with items by brand and type: six times the series, so that work per panel row can be compared.
+    grown = Stages(spark, sf_dir, item_key="brand_type")
+    panel_rows = {"brand": stages.daily_table().count()}
+    for name, build in {"grown_daily": grown.daily_table, "grown_training": grown.training}.items():
+        began = time.perf_counter()
+        build()
+        timings[name] = round(time.perf_counter() - began, 3)
+    panel_rows["brand_type"] = grown.daily_table().count()
+    per_million = {
+        key: round((timings[daily] + timings[training]) / panel_rows[key] * 1e6, 3)
+        for key, daily, training in (("brand", "stage_daily", "stage_training"), ("brand_type", "grown_daily", "grown_training"))
+    }
     print(
         json.dumps(
             {
@@ -83,6 +96,8 @@ def main() -> None:
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,
+                "panel_rows": panel_rows,
+                "seconds_per_million_panel_rows": per_million,
                 "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
             }
         )

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TINY = 1e-12
+SNAP_STATES = ("CA", "TX", "WI")
 
 # Display names of the known forecasters.
 MODEL_LABELS = {
@@ -74,6 +75,12 @@ def demand_regime(zero_rate: Column) -> Column:
     )
 
 
+def own_snap(state: Column, prefix: str = "snap_") -> Column:
+    """The programme flag of the row's own state, 0 for other states."""
+    flags = [F.when(state == name, F.col(f"{prefix}{name}")) for name in SNAP_STATES]
+    return F.coalesce(*flags, F.lit(0))
+
+
 def text_hash(*parts: Column) -> Column:
     """Hex digest of the parts; the same in every engine, so samples can be checked anywhere."""
     return F.md5(F.concat_ws(":", *[part.cast("string") for part in parts]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 from operator import and_
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandloom.functions.exprs import is_finite, model_label
+from demandloom.functions.exprs import is_finite, model_label, own_snap
 from demandloom.operators import (
     accuracy, adjust, attribution, baselines, contracts, features, hierarchy, inventory, learned, panel, profile,
     sampling, selection,
@@ -19,7 +20,7 @@ from demandloom.plans import jobs
 from demandloom.plans.stages import Stages
 from demandloom.settings import SERIES_KEYS, ReplayPolicy
 from demandloom.sources import retail
-from demandloom.sources.tables import staged
+from demandloom.sources.tables import LINEAGE, read_table, staged, staging_root, stamped, without_lineage, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -126,6 +127,27 @@ def panel_gaps(s: Stages) -> DataFrame:
     return panel.panel_gaps(s.sales_table())
 
 
+@report
+def state_snap_days(s: Stages) -> DataFrame:
+    """Series-days and units on days when the series' own state has its programme."""
+    flagged = s.daily_table().withColumn("own_snap", own_snap(F.col("state_id")))
+    return flagged.groupBy("state_id", "own_snap").agg(F.count(F.lit(1)).alias("row_count"), F.sum("units").alias("units"))
+
+
+@report
+def lake_round_trip(s: Stages) -> DataFrame:
+    """The panel stamped, written by state and year, read back without its lineage, and counted beside the reported rows."""
+    lake = f"{staging_root(s.spark)}/lake-{uuid.uuid4().hex}"
+    stamps = {name: "roundtrip" for name in LINEAGE}
+    written = write_table(
+        stamped(s.daily_table(), **stamps), lake, "silver", "sales_daily", ["state_id", "year"], sort_within=["series_id", "day_num"]
+    )
+    back = without_lineage(read_table(s.spark, lake, "silver", "sales_daily"))
+    return back.groupBy("state_id", "year").agg(F.count(F.lit(1)).alias("row_count"), F.sum("units").alias("units")).withColumns(
+        {"reported_rows": F.lit(written["rows"]), "columns": F.lit(len(back.columns))}
+    )
+
+
 # Profiles ------------------------------------------------------------------
 
 
@@ -514,6 +536,13 @@ def _levels(s: Stages, policies) -> DataFrame:
     )
 
 
+@report
+def price_backfill(s: Stages) -> DataFrame:
+    """Prices taken from the feature table where stored backtests lack them."""
+    filled = inventory.with_unit_price(s.backtests().drop("unit_price"), s.training())
+    return filled.select("model_name", "series_id", "fold_origin", "horizon", "unit_price")
+
+
 @report
 def residual_blocks(s: Stages) -> DataFrame:
     return _blocks(s).select("model_name", "fold_origin", "series_id", F.posexplode("block").alias("step", "residual"))
@@ -557,6 +586,12 @@ def attribution_global(s: Stages) -> DataFrame:
     return attribution.attribution_global(_attributed(s))
 
 
+@report
+def attribution_top(s: Stages) -> DataFrame:
+    """The five features of the largest importance."""
+    return attribution.attribution_global(_attributed(s), top=5)
+
+
 @report
 def attribution_family(s: Stages) -> DataFrame:
     return attribution.attribution_family(_attributed(s))

@@ -25,11 +25,11 @@ _EXPORTED: dict[tuple[str, str], str] = {}
 class Stages:
     """Tables derived from one set of source tables under one configuration."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, cfg: Settings = DEFAULTS) -> None:
-        self.spark, self.sf_dir, self.cfg = spark, sf_dir, cfg
+    def __init__(self, spark: SparkSession, sf_dir: str, cfg: Settings = DEFAULTS, item_key: str = "brand") -> None:
+        self.spark, self.sf_dir, self.cfg, self.item_key = spark, sf_dir, cfg, item_key
 
     def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.cfg, name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.cfg, f"{self.item_key}-{name}")
         if key not in _BUILT:
             _BUILT[key] = staged(build(), name)
         return _BUILT[key]
@@ -37,7 +37,7 @@ class Stages:
     # Views: cheap plans over the source tables.
 
     def sales(self) -> DataFrame:
-        return retail.daily_sales(self.spark, self.sf_dir)
+        return retail.daily_sales(self.spark, self.sf_dir, self.item_key)
 
     def calendar(self) -> DataFrame:
         return retail.calendar(self.spark)

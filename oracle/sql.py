@@ -339,3 +339,12 @@ SELECT unnest(['tweedie_1.1', 'tweedie_1.2', 'tweedie_1.5', 'l1', 'poisson', 'hu
        true AS consistent""")
 add("learned_final_forecast", f"SELECT {IDS}, origin_day, horizon, true AS ordered, true AS valid, true AS factor_bounded FROM future", "future")
 add("glm_attribution", "SELECT series_id, horizon, true AS adds_up FROM future", "future")
+
+add("state_snap_days", """
+SELECT state_id, CASE state_id WHEN 'CA' THEN snap_CA WHEN 'TX' THEN snap_TX WHEN 'WI' THEN snap_WI ELSE 0 END AS own_snap,
+       count(*) AS row_count, sum(units) AS units FROM daily GROUP BY ALL""", "daily", rounded=["units"])
+add("lake_round_trip", """
+SELECT state_id, year, count(*) AS row_count, sum(units) AS units, sum(count(*)) OVER () AS reported_rows, 25 AS columns
+FROM daily GROUP BY state_id, year""", "daily", rounded=["units"])
+add("price_backfill", "SELECT model_name, series_id, fold_origin, horizon, unit_price FROM backtests", "backtests", rounded=["unit_price"])
+add("attribution_top", "SELECT * FROM attr_global WHERE rank <= 5", "attr_global", rounded=IMPORTANCE)
