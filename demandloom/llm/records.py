@@ -16,7 +16,9 @@ whole; other columns of the input are not read. A broken length, payload or inde
 from __future__ import annotations
 
 import itertools
+import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
@@ -33,10 +35,15 @@ from demandloom.llm.pieces import text_runs
 
 MASK = 0xA282EAD8
 INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("offset", "<u8"), ("ids", "<u8")])
-#: ASCII signs; no letter, digit or blank.
-SIGNS = """!"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"""
-#: Distinct words kept by a worker before its store is emptied.
-KEPT_WORDS = 1_000_000
+#: The tokenizer's pattern, as its file states it.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The same pattern for lowered letters below U+0180: letters, numbers and white space of that range.
+_LETTER, _NUMBER, _BLANK = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\t-\r \u0085\u00a0"
+CUT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_BLANK}{_LETTER}{_NUMBER}]+")
+#: Letters whose lowering or composition is not simple, and the start of special tokens.
+UNUSUAL = re.compile("[\u0130\u0180-\U0010ffff]|<\\|")
+#: Distinct cuts kept by a worker before its store is emptied.
+KEPT_WORDS = 1_200_000
 
 
 def masked(data: bytes) -> int:
@@ -65,10 +72,12 @@ def unframe(data: memoryview, offset: int) -> tuple[memoryview, int]:
 
 
 class WordCoder:
-    """Ids by the tokenizers library, with a bounded store for the words of a worker.
+    """Ids by the tokenizers library, with a bounded store for the pieces of text of a worker.
 
-    The tokenizer drops white space before it merges and no token spans it, so the ids of a text are those of its
-    blank-separated words in order; every distinct word is encoded once.
+    The tokenizer lowers letters, drops white space and cuts the text by a pattern before it merges, so the ids of a text
+    are those of its cuts in order, and every distinct cut is encoded once. Plain texts (letters below U+0180, where
+    lowering and normalising are simple) are cut here by the tokenizer's own pattern; other texts, and texts that may
+    name a special token, are cut at blanks only and the library does the rest.
     """
 
     def __init__(self, path: str):
@@ -77,54 +86,43 @@ class WordCoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.cuts = PATTERN in json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"].values()
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.parts: dict[str, int] = {"": 0}
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.bounds = np.zeros(1 << 12, np.int64)  # of the ids of each part
-        self.pairs = np.zeros((1 << 12, 2), np.int64)  # word and signs of each known word
-
-    @staticmethod
-    def _split(word: str) -> tuple[str, str]:
-        """A word and the signs at its end; the tokenizer lowers letters and never joins them with signs."""
-        if not word.isascii() or "<|" in word:
-            return word, ""
-        core = word.rstrip(SIGNS)
-        return (core.lower(), word[len(core):]) if core else (word, "")
-
-    def _learn(self, words: list[str]) -> None:
-        cores, tails = zip(*map(self._split, words), strict=True)
-        asked = list(set(cores).union(tails) - self.parts.keys())
-        rows = [e.ids for e in self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)]
+        self.bounds = np.zeros(1 << 12, np.int64)
+
+    def keys(self, text: str) -> list[str]:
+        if self.cuts and not UNUSUAL.search(text):
+            return CUT.findall(text.lower())
+        return text.replace("\n", " ").split(" ")
+
+    def _learn(self, keys: list[str]) -> None:
+        rows = [e.ids for e in self.tokenizer.encode_batch_fast(keys, add_special_tokens=False)]
         counts = np.fromiter(map(len, rows), np.int64, len(rows))
         ids = np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(counts.sum()))
-        have, filled = len(self.parts), int(self.bounds[len(self.parts)])
+        have, filled = len(self.known), int(self.bounds[len(self.known)])
         self.flat = _room(self.flat, filled + len(ids))
-        self.bounds = _room(self.bounds, have + len(asked) + 1)
+        self.bounds = _room(self.bounds, have + len(keys) + 1)
         self.flat[filled: filled + len(ids)] = ids
-        self.bounds[have + 1: have + len(asked) + 1] = filled + np.cumsum(counts)
-        self.parts.update(zip(asked, range(have, have + len(asked)), strict=True))
-        have = len(self.known)
-        self.pairs = _room(self.pairs, have + len(words))
-        for k, part in enumerate((cores, tails)):
-            self.pairs[have: have + len(words), k] = np.fromiter(map(self.parts.__getitem__, part), np.int64, len(words))
-        self.known.update(zip(words, range(have, have + len(words)), strict=True))
+        self.bounds[have + 1: have + len(keys) + 1] = filled + np.cumsum(counts)
+        self.known.update(zip(keys, range(have, have + len(keys)), strict=True))
 
     def encode(self, texts: Sequence[str], end_id: int) -> list[np.ndarray]:
         """Ids of every text, each with the end id."""
-        split = [text.replace("\n", " ").split(" ") for text in texts]
+        split = [self.keys(text) for text in texts]
         if len(self.known) > KEPT_WORDS:
             self._clear()
         fresh = list(set().union(*split) - self.known.keys())
         for first in range(0, len(fresh), 50_000):
             self._learn(fresh[first: first + 50_000])
         out = []
-        for words in split:
-            part = self.pairs[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))].ravel()
-            starts = self.bounds[part]
-            counts = self.bounds[part + 1] - starts
+        for keys in split:
+            index = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+            starts = self.bounds[index]
+            counts = self.bounds[index + 1] - starts
             ids = np.empty(int(counts.sum()) + 1, np.uint32)
             ids[:-1] = self.flat[ranges(starts, counts)]
             ids[-1] = end_id

@@ -176,6 +176,17 @@ def test_records_of_odd_rows(odd, none):
     assert records.read_records(empty).collect() == []
 
 
+def test_cuts_equal_the_library():
+    rng = random.Random(2)
+    coder = records.coder(WORDS)
+    assert coder.cuts
+    latin = [chr(c) for c in range(1, 0x180)]
+    texts = ["".join(rng.choice(latin) for _ in range(rng.randrange(1, 60))) for _ in range(3000)]
+    texts += ["".join(rng.choice("a'sSrRlLmd ve\xa0é½²<|İΣ\u0301") for _ in range(rng.randrange(1, 30))) for _ in range(3000)]
+    want = [e.ids + [2] for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in coder.encode(texts, 2)] == want
+
+
 def test_shuffled_reads_and_broken_files(documents):
     from demandloom.llm.common import staged
 
