@@ -78,17 +78,28 @@ def validation_split(train: DataFrame) -> tuple[DataFrame, DataFrame]:
     return train.where(F.col("origin_day") < span["high"]), validation
 
 
-def fit_calibration(points: DataFrame, by: Sequence[str] = FORECAST_KEYS) -> DataFrame:
-    """Residual quantiles per horizon, and over all horizons (horizon null) as fallback."""
+def residual_tally(points: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Number of rows of every residual per key and horizon; what folds and fallbacks need is summed from this."""
+    residual = (F.col("target") - F.col("yhat")).alias("residual")
+    return points.select(*keys, "horizon", residual).groupBy(*keys, "horizon", "residual").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def fold_residuals(points: DataFrame, folds: Sequence[int]) -> DataFrame:
+    """Residual tally of every model and fold, each from the rows known at the fold's origin."""
+    return training_rows(residual_tally(points, ["model_name", "origin_day"]), folds)
+
+
+def fit_calibration(residuals: DataFrame, by: Sequence[str] = FORECAST_KEYS) -> DataFrame:
+    """Residual quantiles per horizon, and over all horizons (horizon null) as fallback.
+
+    Takes a residual tally, or points with target and yhat.
+    """
     by = list(by)
+    tally = residuals if "rows" in residuals.columns else residual_tally(residuals, by)
     # Horizon 0 stands for all horizons; every row counts once in each.
-    residuals = points.select(
-        *by,
-        F.explode(F.array(F.col("horizon"), F.lit(0))).alias("horizon"),
-        (F.col("target") - F.col("yhat")).alias("residual"),
-    )
+    both = tally.select(*by, F.explode(F.array(F.col("horizon"), F.lit(0))).alias("horizon"), "residual", "rows")
     levels = {"o05": 0.05, "o50": 0.5, "o95": 0.95}
-    offsets = exact_quantiles(residuals, [*by, "horizon"], "residual", levels)
+    offsets = exact_quantiles(both, [*by, "horizon"], "residual", levels, weight="rows")
     return offsets.withColumn("horizon", F.when(F.col("horizon") != 0, F.col("horizon")))
 
 
@@ -136,7 +147,7 @@ def backtest_contract(*frames: DataFrame) -> DataFrame:
 def backtest_baselines(features: DataFrame, cfg: Settings, models: Sequence[str] = BASELINES) -> DataFrame:
     """All baselines over all folds in one plan: the fold is a column, not a loop."""
     points = baseline_points(features, models)
-    calibration = fit_calibration(training_rows(points, cfg.backtest_origins))
+    calibration = fit_calibration(fold_residuals(points, cfg.backtest_origins))
     evaluated = evaluation_rows(points, cfg.backtest_origins)
     return backtest_contract(apply_calibration(evaluated, calibration))
 
