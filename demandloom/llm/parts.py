@@ -54,16 +54,20 @@ def cuts_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]])
 
 
-def with_part(docs: DataFrame) -> DataFrame:
-    """id, text, and the file each row is read from; a frame that does not come from files is written first."""
-    file = F.col("_metadata.file_path").alias("file")
-    rows = None
+def located(docs: DataFrame) -> DataFrame:
+    """The frame with the file (_part) and the place in it (_row) of every row; a frame not read from files is written first."""
+    part, row = F.xxhash64("_metadata.file_path").alias("_part"), F.col("_metadata.row_index").alias("_row")
     if docs.inputFiles():
         with contextlib.suppress(AnalysisException):
-            rows = docs.select("doc_id", "text", file)
-    if rows is None:
-        rows = staged(docs.select("doc_id", "text"), "part-docs").select("doc_id", "text", file)
-    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("file").alias("part"))
+            return docs.select("*", part, row)
+    return staged(docs, "part-docs").select("*", part, row)
+
+
+def with_part(docs: DataFrame) -> DataFrame:
+    """id, text, part and row of every document."""
+    if "_part" not in docs.columns:
+        docs = located(docs.select("doc_id", "text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("_part").alias("part"), F.col("_row").alias("row"))
 
 
 def stored_by_part(rows: DataFrame, name: str) -> str:
@@ -98,10 +102,16 @@ def part_table(path: str, part: int, columns: list[str]) -> pa.Table | None:
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(part, ids, bytes, bounds) of stretches of rows of one part."""
+    for part, _, ids, data, bounds in placed_slices(batches):
+        yield part, ids, data, bounds
+
+
+def placed_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(part, rows in it, ids, bytes, bounds) of stretches of rows of one part."""
     for batch in batches:
-        part = batch.column(2).to_numpy()
+        part, row = batch.column(2).to_numpy(), batch.column(3).to_numpy()
         ids = batch.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
         edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else []
         for first, end in zip(edges[:-1], edges[1:], strict=True):
             for a, b, data, bounds in text_slices(batch.column(1).slice(first, end - first)):
-                yield int(part[first]), ids[first + a: first + b], data, bounds
+                yield int(part[first]), row[first + a: first + b], ids[first + a: first + b], data, bounds

@@ -280,4 +280,4 @@ def test_pipeline_of_odd_rows(shared, odd, rows):
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
         if k != 0:
             docs = pieces_staged(stage(shared, docs, SF))
-    assert docs.count() == (10 if rows else 0)
+    assert docs.count() == (10 if rows else 0)  # ids 4, 5 and 5 are one text
