@@ -41,6 +41,12 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lea
     return np.sort(order[twice])
 
 
+def _common(rows: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of each row and the next."""
+    differ = rows[1:] != rows[:-1]
+    return np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
+
+
 def maximal_repeats(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, value: np.ndarray, least: int
 ) -> Iterator[tuple[int, np.ndarray, int]]:
@@ -58,13 +64,12 @@ def maximal_repeats(
     rest = ends[owner] - at
     words = -(-int(rest.max()) // 8)
     padded = np.concatenate([data, np.zeros(8 * words, np.uint8)])
-    rows = padded[at[:, None] + np.arange(8 * words)]
+    rows = np.lib.stride_tricks.sliding_window_view(padded, 8 * words)[at]
     rows[np.arange(8 * words) >= rest[:, None]] = 0
     keys = np.ascontiguousarray(rows).view(">u8")
     order = np.lexsort(tuple(keys[:, k] for k in range(words - 1, -1, -1)))
     at, rest, owner, rows = at[order], rest[order], owner[order], rows[order]
-    differ = rows[1:] != rows[:-1]
-    common = np.where(differ.any(axis=1), differ.argmax(axis=1), 8 * words)
+    common = np.concatenate([np.zeros(0, np.int64), *(_common(rows[k: k + 65_537]) for k in range(0, len(rows) - 1, 65_536))])
     common = np.minimum(common, np.minimum(rest[1:], rest[:-1]))
     common[common < least] = 0
     left = np.where(at > starts[owner], data[np.maximum(at - 1, 0)].astype(np.int64), -1)  # -1: bytes differ
