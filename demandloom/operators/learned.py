@@ -25,13 +25,15 @@ from demandloom.sources.tables import staged
 CATEGORIES = ("item_id", "dept_id", "cat_id", "store_id", "state_id", "target_event_type")
 NOT_FEATURES = ("series_id", "origin_date", "target_date", "target", "_run_id")
 MISSING = "__missing__"
+# Values of a column are ranked in slices with the same first letters.
+SLICE_LETTERS = 8
 
 
 def fit_categories(frame: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFrame:
     """(column_name, category, code): alphabetical codes from 0 per column.
 
-    Distinct pairs are found with map-side combination; the ranking runs over the
-    distinct values of a column, i.e. the size of the product catalogue.
+    Distinct pairs are found with map-side combination. Values are ranked inside slices that share their first letters
+    and shifted by the number of values in earlier slices, so no task ranks a whole column.
     """
     present = [c for c in columns if c in frame.columns]
     pairs = F.array(
@@ -40,12 +42,13 @@ def fit_categories(frame: DataFrame, columns: Sequence[str] = CATEGORIES) -> Dat
             for c in present
         ]
     )
-    order = Window.partitionBy("column_name").orderBy("category")
-    return (
-        frame.select(F.inline(pairs))
-        .distinct()
-        .withColumn("code", (F.row_number().over(order) - 1).cast("double"))
-    )
+    values = frame.select(F.inline(pairs)).distinct().withColumn("_slice", F.substring("category", 1, SLICE_LETTERS))
+    slices = values.groupBy("column_name", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("column_name").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = slices.select("column_name", "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("column_name", "_slice").orderBy("category")
+    ranked = values.withColumn("_place", F.row_number().over(inside) - 1).join(starts, ["column_name", "_slice"])
+    return ranked.select("column_name", "category", (F.col("_start") + F.col("_place")).cast("double").alias("code"))
 
 
 def encode_categories(frame: DataFrame, dictionary: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFrame:
