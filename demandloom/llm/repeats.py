@@ -37,8 +37,10 @@ from demandloom.llm.suffix_array import maximal_repeats
 WINDOW, GRAM = 50, 16
 #: Documents with the same minimiser from which its windows travel alone.
 HOT = 400
-#: Runs that a task gathers before it sends them.
-SENT_RUNS = 800_000
+#: Runs that a task gathers before it sends their hashes, and before it sends their bytes.
+SEEN_RUNS, SENT_RUNS = 800_000, 250_000
+#: Buckets of hashes in each partition of a shuffle; one bucket is unpacked at a time.
+BUCKETS = 16
 
 
 # -- runs of a text ---------------------------------------------------------------------------------------------------
@@ -120,7 +122,7 @@ def seen_runs(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, hashes, ids, size = None, [], [], 0
         for part, own, data, bounds in slices(batches):
-            if hashes and (part != at or size > SENT_RUNS):
+            if hashes and (part != at or size > SEEN_RUNS):
                 yield send(at, hashes, ids)
                 hashes, ids, size = [], [], 0
             h, _, _, row = runs_of(data, bounds)
@@ -407,10 +409,10 @@ def _tables(docs: DataFrame, hot: int) -> tuple[DataFrame, str, str]:
     rows = with_part(docs)
     # small partitions: each is unpacked in the memory of one Python worker
     tasks = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seen = rows.mapInArrow(seen_runs(4 * tasks), SEEN).repartition(tasks, "bucket")
+    seen = rows.mapInArrow(seen_runs(BUCKETS * tasks), SEEN).repartition(tasks, "bucket")
     shared = seen.mapInArrow(lambda batches: shared_hashes(batches, hot), "part long, hashes binary, hot binary")
     shared = stored_by_part(shared, "repeat-shared")
-    sent = rows.mapInArrow(sent_runs(shared, 4 * tasks), SENT).repartition(tasks, "bucket")
+    sent = rows.mapInArrow(sent_runs(shared, BUCKETS * tasks), SENT).repartition(tasks, "bucket")
     found = stored_by_part(sent.mapInArrow(smallest_ids, FOUND), "repeat-found")
     return rows, shared, found
 
