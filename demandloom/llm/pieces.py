@@ -28,7 +28,7 @@ from demandloom.llm.common import ranges
 BLANK = "▁"
 _LED = re.compile(BLANK + "+[^" + BLANK + "]*")
 #: Words kept by a worker before its store is emptied.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 600_000
 
 
 class KeyTable:
