@@ -229,6 +229,31 @@ def test_leaks_equal_full_alignment(documents):
     assert sorted(r["doc_id"] for r in clean.collect()) == sorted(i for i, _ in rows if i not in {r["doc_id"] for r in got})
 
 
+def test_evenly_edited_copies(documents):
+    spark = documents.sparkSession
+    items = [(r["item_id"], forms(r["text"])) for r in table(spark, "/root/testdata/sf0.1", "benchmark").collect()]
+    rows, rng = [], random.Random(5)
+    for every in (2, 3, 4, 5, 6):
+        for k, words in items[:60]:
+            replaced = [w if n % every != every - 1 else f"q{rng.randrange(99)}" for n, w in enumerate(words)]
+            added = [x for n, w in enumerate(words) for x in ([w, "zz"] if n % (every - 1) == 0 else [w])]
+            dropped = [w for n, w in enumerate(words) if n % every != every - 1]
+            rows += [(len(rows) + j, " ".join(["before", *t, "behind"])) for j, t in enumerate((replaced, added, dropped))]
+            rows.append((len(rows), " ".join(words)))  # an exact copy makes the seeds of the others frequent
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items[:60]], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in leaks.find_leaks(frame, bench).collect()}
+    want = {}
+    for i, text in rows:
+        words = forms(text)
+        for k, own in items[:60]:
+            if 2 * len(set(own) & set(words)) >= len(set(own)) * leaks.SCORE:
+                score = plain_score(own, words) / (2 * len(own))
+                if score >= leaks.SCORE:
+                    want[i, k] = score
+    assert got == pytest.approx(want) and len(want) >= 60 * 15
+
+
 def test_leaks_of_odd_rows(odd, none):
     spark = odd.sparkSession
     items = spark.createDataFrame([(1, None), (2, ""), (3, "one"), (4, "no id"), (None, "long long long long long")], "item_id long, text string")
