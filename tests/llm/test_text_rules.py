@@ -153,6 +153,36 @@ def test_structures():
     assert secret_scan.masked(f"a {jwt} b token=abcdefgh.", secret_scan.spans(f"a {jwt} b token=abcdefgh.")[1]) == "a [jwt] b [assign]"
 
 
+def test_other_forms_of_keys():
+    point = bytes(range(256)) * 2
+    key = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2a\x86\x48\xce\x3d\x02\x01") + der(5, b"")) + der(4, b"\xfb\xef\xff" * 9 + point))
+    field = lambda b: len(b).to_bytes(4, "big") + b
+    ssh = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(b"p" * 51) + field(b"s" * 136)
+    kinds = lambda t: [(k, t[a:b]) for a, k, b in secret_scan.spans(t)[1]]
+    keys = lambda t: [x for k, x in kinds(t) if k == 4]
+    wrap = lambda s, end, n=64: end.join(s[k: k + n] for k in range(0, len(s), n))
+    for data in (key, ssh):
+        plain, url = base64.b64encode(data).decode(), base64.urlsafe_b64encode(data).decode().rstrip("=")
+        assert data is ssh or "-" in url and "_" in url
+        mixed = "".join(c.upper() if k % 3 else c for k, c in enumerate(data.hex()))
+        for form in (plain, url, data.hex().upper(), mixed):
+            for end in ("\n", "\r\n", "\n    ", "\\n", "\\r\\n", '\\n"\n  "', '" +\n"'):
+                text = wrap(form, end)
+                assert keys(f"é a key\n{text}\nand more") == [text], (form, end)
+                assert keys(f'{{"key": "{text}\\n", "x": 1}}') == [text] and keys(f'"\\n{text}"') == [text]
+            assert keys(f"say {form} now") == [form]
+            text = wrap(form.rstrip("="), "\n")
+            for broken in (text[:-4], text + "AAAA", text[:9] + "\n" + text[13:], "AA" + text):
+                assert keys(f"a key\n{broken}") == []
+        for end in ("\\n", "\\r\\n", "\\\\n", '\\n"\n"'):
+            for body in (plain, plain.replace("/", "\\/")):
+                armour = f"-----BEGIN PRIVATE KEY-----{end}{wrap(body, end)}{end}-----END PRIVATE KEY-----"
+                text = f'{{"type": "service_account", "private_key": "{armour}\\n"}}'
+                assert keys(text) == [armour] and armour not in secret_scan.masked(text, secret_scan.spans(text)[1])
+    for text in ("MA\n" * 20_000, "30" * 20_000, "MIIB\\n" * 20_000, " " * 40_000, "MIIB" + " \n" * 20_000, "\\n" * 20_000, "3082\n" * 20_000):
+        assert keys(text) == []
+
+
 # -- licences ---------------------------------------------------------------------------------------------------------
 
 
