@@ -216,6 +216,27 @@ def test_licences(shared, odd, none):
     assert licences.scan(odd).collect() == [] and licences.scan(none).collect() == []
 
 
+def test_full_licence_texts_and_notices(shared):
+    from pathlib import Path
+
+    texts = {p.stem: p.read_text() for p in (Path(licences.__file__).parent / "licence_texts").glob("*.txt")}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "BSD-3-Clause", "MPL-2.0", "CC0-1.0"} <= set(texts)
+    rows = [(name, "\n\n" + text.upper().replace("\n", "\r\n")) for name, text in texts.items()]
+    rows += [("Apache-2.0", texts["Apache-2.0"].split("APPENDIX")[0]), (None, texts["GPL-3.0"][:-200]), (None, "see\n" + texts["GPL-2.0"])]
+    lines = [
+        ("BSD-3-Clause", "Released under the BSD 3-Clause License."), ("GPL-3.0-or-later", "This program is licensed under the GNU GPLv3 or later"),
+        ("LGPL-2.1", "Distributed under the terms of the GNU Lesser General Public Licence, version 2.1."), ("MPL-2.0", "License: MPL-2.0"),
+        ("CC-BY-SA-3.0", "This document is licensed under CC BY-SA 3.0."), (None, "Released under the BSD 3-Clause License and more."),
+    ]
+    frame = shared.createDataFrame([(n, t) for n, (_, t) in enumerate(rows + lines)], "doc_id long, text string")
+    got = licences.scan(frame).collect()
+    whole = {(r["doc_id"], r["licence"]) for r in got if r["line"] is None or r["doc_id"] >= len(rows)}
+    assert whole == {(n, name) for n, (name, _) in enumerate(rows + lines) if name}
+    forms_ = {}
+    for name, text in licences.KNOWN:  # no text stands for two licences
+        assert forms_.setdefault(plain_form(text), name) == name, (name, text[:90])
+
+
 # -- leaks ------------------------------------------------------------------------------------------------------------
 
 
