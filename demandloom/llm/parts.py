@@ -1,8 +1,9 @@
-"""Packed columns, and results that go back to the texts of one input file.
+"""Packed columns, and results that go back to the texts of one stretch of an input file.
 
 A pass over documents can send a few bytes per text to other tasks and get an answer back without shuffling the texts:
-answers are stored in the shared folder by the file the text is read from ("part"), and the task that reads the file again
-looks up its own.
+answers are stored in the shared folder by the block of PART_ROWS rows of a file that the text is read from ("part"), and
+the task that reads the block again looks up its own. Neither the tasks that store answers nor the tables that a worker
+loads grow with the size of a file.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 from demandloom.llm.common import new_path, staged, text_slices
 
 NULL_ID = -(2**63)
+#: Rows of a file that share a part.
+PART_ROWS = 16_384
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -55,8 +58,10 @@ def cuts_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """The frame with the file (_part) and the place in it (_row) of every row; a frame not read from files is written first."""
-    part, row = F.xxhash64("_metadata.file_path").alias("_part"), F.col("_metadata.row_index").alias("_row")
+    """The frame with the block of its file (_part) and the place in the file (_row) of every row; a frame not read from files is written first."""
+    place = F.col("_metadata.row_index")
+    part = F.xxhash64("_metadata.file_path", F.floor(place / PART_ROWS)).alias("_part")
+    row = place.alias("_row")
     if docs.inputFiles():
         with contextlib.suppress(AnalysisException):
             return docs.select("*", part, row)

@@ -10,8 +10,8 @@ three passes over the texts, which are never shuffled:
    repeats of at least WINDOW bytes with all their occurrences, and gives every window the smallest doc_id that has it;
 3. every task removes the bytes of windows that a smaller doc_id has, and digests the rest.
 
-What goes back to a text is stored in the shared folder by the file the text is read from, so it is read by the tasks that
-need it and held in parts of bounded size. A minimiser that very many documents have (HOT) would gather as many different
+What goes back to a text is stored in the shared folder by the block of rows of the file that the text is read from, so it
+is read by the tasks that need it and held in parts of bounded size, however large the files are. A minimiser that very many documents have (HOT) would gather as many different
 runs in one place; its windows are sent one by one under a hash of their own instead (128 bits), where equal ones
 are merged before they are sent.
 

@@ -78,6 +78,24 @@ def test_documents(documents):
     assert sum(r["end"] - r["first"] for r in spans) == sum(r[2] for r in plain(rows))
 
 
+def test_one_file_has_many_parts(shared, documents, monkeypatch, tmp_path):
+    from demandloom.llm import jaccard, parts
+
+    path = str(tmp_path / "one")
+    documents.coalesce(1).write.parquet(path)
+    one = shared.read.parquet(path)
+    removed = sorted(map(tuple, repeats.deduplicate(one).collect()), key=str)
+    joined = sorted(map(tuple, jaccard.join(one).collect()), key=str)
+    kept = sorted(map(tuple, jaccard.one_of_each(one).collect()), key=str)
+    monkeypatch.setattr(parts, "PART_ROWS", 30, raising=False)
+    rows = [r["_part"] for r in parts.located(one).collect()]
+    assert len(one.inputFiles()) == 1 and len(set(rows)) == -(-len(rows) // 30)
+    assert max(map(rows.count, set(rows))) == 30
+    assert sorted(map(tuple, repeats.deduplicate(one).collect()), key=str) == removed
+    assert sorted(map(tuple, jaccard.join(one).collect()), key=str) == joined
+    assert sorted(map(tuple, jaccard.one_of_each(one).collect()), key=str) == kept
+
+
 def test_maximal_repeats_have_all_occurrences():
     rng = random.Random(7)
     parts = ["".join(rng.choice("ab") for _ in range(rng.randrange(5, 40))) for _ in range(9)]
