@@ -113,39 +113,37 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 
 BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-BASE = np.uint64(0x5851F42D4C957F2D)
-_POWERS = np.ones(1, np.uint64)
-
-
-def powers(count: int) -> np.ndarray:
-    """BASE ** 0 .. BASE ** (count - 1) modulo 2 ** 64, kept between calls."""
-    global _POWERS
-    if len(_POWERS) < count:
-        more = np.full(max(count, 4096), BASE, dtype=np.uint64)
-        more[0] = 1
-        _POWERS = np.cumprod(more, dtype=np.uint64)
-    return _POWERS[:count]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each of the byte spans; equal spans hash equally everywhere."""
+    """64-bit hash of each of the byte spans; equal spans hash equally everywhere.
+
+    Every eight bytes of a span are mixed with their place before they are added up, so that no arrangement of the same
+    bytes cancels out as it would in a polynomial.
+    """
     lengths = ends - starts
-    total = int(lengths.sum())
-    if total > 2 * HASHED_BYTES and len(starts) > 1:  # spans may overlap, so their bytes may be many more than the data's
-        half = min(max(int(np.searchsorted(np.cumsum(lengths), total // 2)), 1), len(starts) - 1)
+    blocks = (lengths + 7) >> 3
+    total = int(blocks.sum())
+    if 8 * total > 2 * HASHED_BYTES and len(starts) > 1:  # spans may overlap, so their bytes may be many more than the data's
+        half = min(max(int(np.searchsorted(np.cumsum(blocks), total // 2)), 1), len(starts) - 1)
         parts = [span_hashes(data, starts[:half], ends[:half]), span_hashes(data, starts[half:], ends[half:])]
         return np.concatenate(parts)
     if not len(starts):
         return np.zeros(0, np.uint64)
-    begin = np.cumsum(lengths) - lengths
-    within = np.arange(total, dtype=np.int64) - np.repeat(begin, lengths)
-    at = within + np.repeat(starts, lengths)
-    terms = BYTE_CODES[data[at]] * powers(int(lengths.max(initial=1)) or 1)[within]
-    full = lengths > 0
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each byte on
+    begin = np.cumsum(blocks) - blocks
+    within = np.arange(total, dtype=np.int64) - np.repeat(begin, blocks)
+    words = eights[np.repeat(starts, blocks) + 8 * within]
+    full = np.flatnonzero(lengths > 0)
+    last = begin[full] + blocks[full] - 1
+    words[last] &= ~np.uint64(0) >> ((-lengths[full] & 7) * 8).astype(np.uint64)  # bytes behind the span
+    words = mix(words ^ mix((within + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
     sums = np.zeros(len(starts), np.uint64)
     if total:
-        sums[full] = np.add.reduceat(terms, begin[full])
-    return mix(sums + lengths.astype(np.uint64))
+        sums[full] = np.add.reduceat(words, begin[full])
+    return mix(sums + mix(lengths.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019)))
 
 
 def chain(hashes: np.ndarray, width: int) -> np.ndarray:

@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, each over its whole table, and their SQL."""
+"""Registered queries of the operators, each over its whole table, and their SQL."""
 
 from __future__ import annotations
 
@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from demandloom.llm import jaccard, leaks, licences, pieces, quality, records, repeats, secret_scan, sharding, url_rules
+from demandloom.llm import (
+    fim, jaccard, leaks, licences, pieces, quality, records, repeats, secret_scan, sharding, simhash, url_rules,
+)
 from demandloom.llm.common import new_path, staged, table
 
 #: The rules of the url contract.
@@ -76,6 +79,20 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document with its middle moved to the end, and of the text restored from that."""
+    made = fim.restore(fim.transform(table(spark, sf_dir, "documents")))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and the smallest doc_id reachable over links of four different bits or fewer."""
+    return simhash.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_url_filters": op2_url_filters,
@@ -87,6 +104,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_simhash": op13_simhash,
 }
 
 _HOST = r"translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -111,5 +130,31 @@ SELECT page_id, host, path, rule,
            '(^|\\.)(cheap-pills\\.example\\.(com|net)|spam-farm\\.example\\.(net|org))$') THEN 'block' ELSE 'allow' END)
        AS verdict
 FROM parts LEFT JOIN fits USING (page_id)
+""",
+    "op12_fill_in_middle": r"""
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+           sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS digest
+    FROM documents
+), drawn AS (
+    SELECT doc_id, text, units, len(units) AS n,
+           ('0x' || substr(digest, 1, 8))::BIGINT % (len(units) + 1) AS one,
+           ('0x' || substr(digest, 9, 8))::BIGINT % (len(units) + 1) AS two,
+           ('0x' || substr(digest, 25, 8))::BIGINT % 100 AS side
+    FROM cut
+), parts AS (
+    SELECT doc_id, text, n, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                                 THEN 'plain' WHEN side < 50 THEN 'spm' ELSE 'psm' END AS form,
+           coalesce(array_to_string(units[1:least(one, two)], ''), '') AS prefix,
+           coalesce(array_to_string(units[least(one, two) + 1:greatest(one, two)], ''), '') AS middle,
+           coalesce(array_to_string(units[greatest(one, two) + 1:], ''), '') AS suffix
+    FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
 """,
 }
