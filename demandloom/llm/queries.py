@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.llm import (
-    fim, jaccard, leaks, licences, pieces, quality, records, repeats, secret_scan, sharding, simhash, url_rules,
+    fim, jaccard, leaks, lexical, licences, pieces, quality, records, repeats, secret_scan, sharding, simhash, url_rules,
 )
 from demandloom.llm.common import new_path, staged, table
 
@@ -79,6 +79,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every test item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document with its middle moved to the end, and of the text restored from that."""
     made = fim.restore(fim.transform(table(spark, sf_dir, "documents")))
@@ -104,12 +109,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_lexical_search": op11_lexical_search,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_simhash": op13_simhash,
 }
 
 _HOST = r"translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = r"regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 ORACLES: dict[str, str] = {
     "op2_url_filters": f"""
@@ -130,6 +138,29 @@ SELECT page_id, host, path, rule,
            '(^|\\.)(cheap-pills\\.example\\.(com|net)|spam-farm\\.example\\.(net|org))$') THEN 'block' ELSE 'allow' END)
        AS verdict
 FROM parts LEFT JOIN fits USING (page_id)
+""",
+    "op11_lexical_search": rf"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM documents
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id
+), totals AS (
+    SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes
+), wanted AS (
+    SELECT item_id, unnest(list_distinct(regexp_extract_all({_LOWER}, '{_TERM}'))) AS term FROM benchmark
+), counts AS (
+    SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM wanted) GROUP BY doc_id, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), totals
+), impacts AS (
+    SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))) AS part
+    FROM counts JOIN sizes USING (doc_id) JOIN weights USING (term), totals
+), scores AS (
+    SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM wanted JOIN impacts USING (term) GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
 """,
     "op12_fill_in_middle": r"""
 WITH cut AS (
