@@ -3,28 +3,38 @@
 from __future__ import annotations
 
 import itertools
+import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel, Transformer
+import numpy as np
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.functions.exprs import floored, non_negative
-from demandloom.operators.adjust import unbiased_scale_search
-from demandloom.operators.attribution import linear_attribution
+from demandloom.operators.adjust import blend_search, seasonal_mean, threshold_scale_search, unbiased_scale_search
+from demandloom.operators.attribution import PREFIX, linear_attribution
 from demandloom.operators.baselines import apply_calibration, fit_calibration, level_factor, validation_split
+from demandloom.operators.boosting import BoostedModel, Booster, Loss
 from demandloom.operators.sampling import sample_fraction
 from demandloom.settings import SERIES_KEYS
-from demandloom.sources.tables import staged
+from demandloom.sources.tables import dropped, staged
 
 CATEGORIES = ("item_id", "dept_id", "cat_id", "store_id", "state_id", "target_event_type")
 NOT_FEATURES = ("series_id", "origin_date", "target_date", "target", "_run_id")
 MISSING = "__missing__"
+# Boosted trees by name, and the loss of each; parameters may change power, level and delta.
+TREE_LOSSES = {
+    "tweedie_trees": {"kind": "tweedie"},
+    "poisson_trees": {"kind": "tweedie", "power": 1.0},
+    "quantile_trees": {"kind": "quantile"},
+    "huber_trees": {"kind": "huber"},
+}
 # Values of a column are ranked in slices with the same first letters.
 SLICE_LETTERS = 8
 
@@ -94,7 +104,7 @@ class DirectForecaster:
     seed: int = 42
     features: list[str] = field(default_factory=list)
     dictionary: DataFrame | None = None
-    model: Transformer | None = None
+    model: Transformer | BoostedModel | None = None
     factor: float = 1.0
     calibration: DataFrame | None = None
 
@@ -102,8 +112,17 @@ class DirectForecaster:
     def linear(self) -> bool:
         return self.kind in ("tweedie", "poisson", "huber")
 
+    @property
+    def boosted(self) -> bool:
+        return self.kind in TREE_LOSSES
+
+    def _booster(self) -> Booster:
+        params = {"seed": self.seed} | dict(self.params)
+        shape = {k: params.pop(k) for k in ("power", "level", "delta") if k in params}
+        return Booster(Loss(**(TREE_LOSSES[self.kind] | shape)), **params)
+
     def _learner(self):
-        common = {"featuresCol": "features", "labelCol": "target", "predictionCol": "_raw"}
+        common = {"featuresCol": "scaled" if self.linear else "features", "labelCol": "target", "predictionCol": "_raw"}
         glm = {"linkPower": 0.0, "regParam": 0.01, "maxIter": 15}
         choices = {
             "tweedie": lambda p: GeneralizedLinearRegression(
@@ -121,8 +140,12 @@ class DirectForecaster:
             "huber": lambda p: LinearRegression(loss="huber", **common, **({"regParam": 0.01, "maxIter": 30} | p)),
         }
         if self.kind not in choices:
-            raise ValueError(f"unknown learner {self.kind!r}; choose from {sorted(choices)}")
-        return choices[self.kind](dict(self.params))
+            raise ValueError(f"unknown learner {self.kind!r}; choose from {sorted([*choices, *TREE_LOSSES])}")
+        learner = choices[self.kind](dict(self.params))
+        if not self.linear:
+            return learner
+        # penalties and steps of a linear fit mean the same for every feature only on one scale
+        return Pipeline(stages=[StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True), learner])
 
     def vectors(self, frame: DataFrame) -> DataFrame:
         """Keys, target and the assembled feature vector; other columns travel along."""
@@ -142,9 +165,15 @@ class DirectForecaster:
             self.dictionary = staged(fit_categories(train), "categories")
         # The fit reads its input once per iteration: materialise the vectors, and
         # keep what fits in memory next to the tasks while it runs.
+        learner = self._booster() if self.boosted else self._learner()
+        if self.boosted:
+            told_apart = F.xxhash64(*[c for c in (*SERIES_KEYS, "origin_day", "horizon") if c in train.columns]).alias("row_key")
+            self.model = learner.fit(self.vectors(train).select("features", "target", told_apart))
+            return self
         vectors = staged(self.vectors(train).select("features", "target"), "vectors").persist()
-        self.model = self._learner().fit(vectors)
+        self.model = learner.fit(vectors)
         vectors.unpersist()
+        dropped(vectors)
         return self
 
     def raw(self, frame: DataFrame) -> DataFrame:
@@ -172,14 +201,26 @@ class DirectForecaster:
 
     def coefficients(self) -> tuple[dict[str, float], float]:
         """Weights by feature name and the intercept, for linear learners."""
-        return dict(zip(self.features, (float(v) for v in self.model.coefficients))), float(self.model.intercept)
+        scaler, fitted = self.model.stages
+        spread = scaler.std.toArray()
+        # a constant feature is scaled to zero and has no influence
+        weights = np.where(spread > 0, fitted.coefficients.toArray() / np.where(spread > 0, spread, 1.0), 0.0)
+        return dict(zip(self.features, weights.tolist())), float(fitted.intercept - weights @ scaler.mean.toArray())
 
     def importances(self) -> dict[str, float]:
         """Share of impurity reduction by feature name, for tree learners."""
         return dict(zip(self.features, (float(v) for v in self.model.featureImportances.toArray())))
 
     def explain(self, frame: DataFrame) -> DataFrame:
-        """Additive attribution of a linear learner on its link scale."""
+        """Additive attribution on the learner's link scale: exact for linear learners and for boosted trees.
+
+        Trees get path-dependent Shapley values, in the layout that the attribution reports read.
+        """
+        if self.boosted:
+            told = self.model.explain(self.vectors(frame), self.features, PREFIX)
+            seen = [F.col("features_seen")[k].alias(f"feature_{c}") for k, c in enumerate(self.features)]
+            told = told.withColumn("features_seen", vector_to_array("features"))
+            return told.select("series_id", "horizon", *[f"{PREFIX}{c}" for c in self.features], *seen, "base_value", "model_output")
         weights, intercept = self.coefficients()
         encoded = encode_categories(frame, self.dictionary).select(
             "series_id", *[as_number(c, self.linear).alias(c) for c in self.features]
@@ -190,7 +231,10 @@ class DirectForecaster:
 def save_forecaster(forecaster: DirectForecaster, path: str) -> None:
     """Store everything needed to score later: pipeline, dictionary, calibration, factor."""
     spark = forecaster.dictionary.sparkSession
-    PipelineModel([forecaster.model]).write().overwrite().save(f"{path}/model")
+    if forecaster.boosted:
+        forecaster.model.table(spark).write.mode("overwrite").parquet(f"{path}/model")
+    else:
+        PipelineModel([forecaster.model]).write().overwrite().save(f"{path}/model")
     forecaster.dictionary.write.mode("overwrite").parquet(f"{path}/categories")
     forecaster.calibration.write.mode("overwrite").parquet(f"{path}/calibration")
     facts = [(forecaster.kind, forecaster.seed, forecaster.factor, forecaster.features)]
@@ -201,12 +245,16 @@ def save_forecaster(forecaster: DirectForecaster, path: str) -> None:
 
 def load_forecaster(spark, path: str) -> DirectForecaster:
     facts = spark.read.parquet(f"{path}/facts").first()
+    if facts["kind"] in TREE_LOSSES:
+        model = BoostedModel.of_table(spark.read.parquet(f"{path}/model"))
+    else:
+        model = PipelineModel.load(f"{path}/model").stages[0]
     return DirectForecaster(
         kind=facts["kind"],
         seed=facts["seed"],
         features=list(facts["features"]),
         dictionary=spark.read.parquet(f"{path}/categories"),
-        model=PipelineModel.load(f"{path}/model").stages[0],
+        model=model,
         factor=facts["factor"],
         calibration=spark.read.parquet(f"{path}/calibration"),
     )
@@ -258,6 +306,90 @@ def search_parameters(
     return best[1], table
 
 
+@dataclass(frozen=True)
+class Span:
+    """Values that a parameter of the halving search may take."""
+
+    low: float
+    high: float
+    log: bool = False
+    whole: bool = False
+
+    def draw(self, share: float) -> float | int:
+        """The value at a share of the span."""
+        if self.log:
+            value = self.low * (self.high / self.low) ** share
+        else:
+            value = self.low + (self.high + self.whole - self.low) * share
+        return min(int(value), int(self.high)) if self.whole else value
+
+
+# Spans of the halving search for boosted trees; `halving_search` takes any other.
+TREE_SPACE: dict[str, Span] = {
+    "rounds": Span(4, 10, whole=True),
+    "step": Span(0.05, 0.4, log=True),
+    "subsample": Span(0.65, 1.0),
+    "colsample": Span(0.65, 1.0),
+    "ridge": Span(0.1, 10.0, log=True),
+    "depth": Span(3, 6, whole=True),
+    "leaf_rows": Span(1, 12, whole=True),
+}
+
+
+def drawn_candidates(space: Mapping[str, Span], trials: int, seed: int) -> list[dict[str, float | int]]:
+    """One set of parameters per trial; a trial's draw depends on the seed and its number only."""
+    return [
+        {name: span.draw(random.Random(f"{seed}:{n}:{name}").random()) for name, span in space.items()}
+        for n in range(trials)
+    ]
+
+
+def rungs(trials: int, keep: int, fraction: float) -> list[tuple[int, float]]:
+    """Candidates and share of the rows of every rung; the last one has a single candidate and the whole fraction."""
+    if trials < 1 or keep < 2 or not 0 < fraction <= 1:
+        raise ValueError("at least one trial, a factor of two or more and a fraction in (0, 1] are needed")
+    counts = [trials]
+    while counts[-1] > 1:
+        counts.append(max(1, counts[-1] // keep))
+    return [(n, fraction / keep ** (len(counts) - 1 - k)) for k, n in enumerate(counts)]
+
+
+def halving_search(
+    train: DataFrame, kind: str, trials: int, seed: int, fraction: float = 1.0, keep: int = 3,
+    space: Mapping[str, Span] = TREE_SPACE,
+) -> tuple[dict[str, object], DataFrame]:
+    """Successive halving: all candidates on a small sample, the best 1/keep of them on keep times as many rows, and so on.
+
+    Samples are drawn by a hash of the key under one seed, so each rung's rows contain those of the rung below. Errors are
+    WAPE on the newest training origin, all its rows. Returns the last candidate's parameters and one row per fit:
+    rung, candidate, parameters, fraction, fit_rows, wape, kept (goes on, or is the result).
+    """
+    keys = ["series_id", "origin_day", "horizon"]
+    fit_rows, judge_rows = validation_split(train)
+    dictionary = staged(fit_categories(fit_rows), "categories")
+    drawn = drawn_candidates(space, trials, seed)
+    alive, results = list(range(trials)), []
+    plan = rungs(trials, keep, fraction)
+    for rung, (_, share) in enumerate(plan):
+        sample = fit_rows if share >= 1 else _sampled(fit_rows, keys, share, seed, "halving")
+        size, errors = sample.count(), {}
+        for n in alive:
+            scored = DirectForecaster(kind, drawn[n], seed, dictionary=dictionary).fit_model(sample).points(judge_rows)
+            miss = F.sum(F.abs(F.col("yhat") - F.col("target"))) / floored(F.sum(F.abs("target")))
+            errors[n] = float(scored.agg(miss.alias("wape")).first()["wape"])
+        best = sorted(alive, key=lambda n: (errors[n], n))
+        stay = best[: plan[rung + 1][0] if rung + 1 < len(plan) else 1]
+        results += [(rung, n, {k: str(v) for k, v in drawn[n].items()}, share, size, errors[n], n in stay) for n in alive]
+        alive = sorted(stay)
+        if sample is not fit_rows:
+            dropped(sample)
+    table = train.sparkSession.createDataFrame(
+        results,
+        "rung int, candidate int, parameters map<string,string>, fraction double, fit_rows long, wape double, kept boolean",
+    )
+    return drawn[alive[0]], table
+
+
 def hurdle_forecast(fit_rows: DataFrame, scoring: DataFrame, seed: int = 42) -> DataFrame:
     """Probability of a sale times the expected amount given a sale."""
     amount = DirectForecaster("poisson", seed=seed).fit_model(fit_rows.where(F.col("target") > 0))
@@ -278,6 +410,7 @@ OBJECTIVES: dict[str, tuple[str, dict[str, object]]] = {
     "tweedie_1.2": ("tweedie", {"variancePower": 1.2}),
     "tweedie_1.5": ("tweedie", {"variancePower": 1.5}),
     "l1": ("absolute", {}),
+    "quantile_0.5": ("quantile_trees", {"level": 0.5, "rounds": 8}),
     "poisson": ("poisson", {}),
     "huber": ("huber", {}),
 }
@@ -286,26 +419,55 @@ OBJECTIVES: dict[str, tuple[str, dict[str, object]]] = {
 def compare_objectives(
     train: DataFrame, evaluation: DataFrame, variants: Mapping[str, tuple[str, dict[str, object]]] = OBJECTIVES, seed: int = 42
 ) -> DataFrame:
-    """Evaluation error per loss, raw and after the scale that removes validation bias."""
+    """Evaluation error per loss: raw, after the scale that removes validation bias, and after threshold and scale.
+
+    Scale, and threshold with its own scale, are searched on the validation rows and applied to the evaluation rows.
+    """
     fit_rows, validation = validation_split(train)
     dictionary = staged(fit_categories(fit_rows), "categories")
     rows = []
     for name, (kind, params) in variants.items():
         model = DirectForecaster(kind, params, seed, dictionary=dictionary).fit_model(fit_rows)
-        judged = staged(model.points(validation).select("target", "yhat"), "objective")
-        best = unbiased_scale_search(judged).first()
-        scale = float(best["scale"]) if best is not None else 1.0
-        miss, y = F.col("yhat") - F.col("target"), F.col("target")
-        adjusted = F.col("yhat") * F.lit(scale) - y
-        size = floored(F.sum(F.abs(y)))
-        found = staged(model.points(evaluation).select("target", "yhat"), "objective").agg(
-            (F.sum(F.abs(miss)) / size).alias("raw_wape"),
-            (F.sum(miss) / size).alias("raw_bias"),
-            (F.sum(F.abs(adjusted)) / size).alias("adjusted_wape"),
-            (F.sum(adjusted) / size).alias("adjusted_bias"),
-        ).first()
-        rows.append((name, scale, *found))
-    return train.sparkSession.createDataFrame(
-        rows,
-        "variant string, scale double, raw_wape double, raw_bias double, adjusted_wape double, adjusted_bias double",
-    )
+        rows.append((name, *adjusted_errors(model.points(validation), model.points(evaluation))))
+    return train.sparkSession.createDataFrame(rows, f"variant string, {ERROR_SCHEMA}")
+
+
+# Columns of `adjusted_errors`.
+ERROR_SCHEMA = (
+    "scale double, raw_wape double, raw_bias double, adjusted_wape double, adjusted_bias double, "
+    "threshold double, cut_scale double, cut_wape double, cut_bias double"
+)
+
+
+def adjusted_errors(validation: DataFrame, evaluation: DataFrame) -> tuple[float, ...]:
+    """The values of ERROR_SCHEMA for forecasts (target, yhat) of both parts."""
+    judged = staged(validation.select("target", "yhat"), "objective")
+    best = unbiased_scale_search(judged).first()
+    scale = float(best["scale"]) if best is not None else 1.0
+    cut = threshold_scale_search(judged).first()
+    threshold, cut_scale = (float(cut["threshold"]), float(cut["scale"])) if cut is not None else (0.0, 1.0)
+    y, yhat = F.col("target"), F.col("yhat")
+    size = floored(F.sum(F.abs(y)))
+    ways = (yhat, yhat * scale, F.when(yhat < threshold, 0.0).otherwise(yhat) * cut_scale)
+    sums = [(F.sum(how(way - y)) / size).alias(f"v{k}{n}") for k, way in enumerate(ways) for n, how in enumerate((F.abs, lambda v: v))]
+    found = evaluation.select("target", "yhat").agg(*sums).first()
+    dropped(judged)
+    return (scale, *found[:4], threshold, cut_scale, *found[4:])
+
+
+def blend_errors(model: DirectForecaster, validation: DataFrame, evaluation: DataFrame) -> tuple[float, ...]:
+    """weight, scale, validation_wape, evaluation_wape, evaluation_bias of the best blend with the seasonal mean.
+
+    Weight and scale come from the validation rows; rows without any known lag are left out, as they have no mean.
+    """
+    lagged = {"seasonal": seasonal_mean()}
+    known = model.points(validation).withColumns(lagged).where(F.col("seasonal").isNotNull())
+    best = blend_search(known, "yhat", "seasonal").first()
+    if best is None:
+        raise ValueError("no blend keeps the bias limit on the validation rows")
+    weight, scale = float(best["weight"]), float(best["scale"])
+    asked = model.points(evaluation).withColumns(lagged).where(F.col("seasonal").isNotNull())
+    miss = (weight * F.col("yhat") + (1.0 - weight) * F.col("seasonal")) * scale - F.col("target")
+    size = floored(F.sum(F.abs("target")))
+    found = asked.agg((F.sum(F.abs(miss)) / size).alias("w"), (F.sum(miss) / size).alias("b")).first()
+    return weight, scale, float(best["wape"]), found["w"], found["b"]

@@ -632,8 +632,8 @@ def recommendation_contract(s: Stages) -> DataFrame:
 
 # Learned models ------------------------------------------------------------
 #
-# Fitted numbers depend on the learner's arithmetic. These queries fit and forecast in full and return what must hold
-# whatever the digits are: the rows forecast, and properties of every forecast.
+# Fitted numbers depend on the learner's arithmetic. Some of these queries return the results themselves (forecasts, errors,
+# attributions) and have no SQL; beside each stands one that returns what must hold whatever the digits are.
 
 
 def _sound(forecast: DataFrame, *keys: str) -> DataFrame:
@@ -646,21 +646,37 @@ def _sound(forecast: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-_FITTED: dict[tuple, tuple[learned.DirectForecaster, DataFrame]] = {}
+_KEPT: dict[tuple, object] = {}
+#: Settings of the boosted trees of these queries.
+TREES = {"tweedie_trees": {"rounds": 10, "depth": 5, "step": 0.3}}
+
+
+def _kept(s: Stages, name: str, build: Callable[[], object]) -> object:
+    """A fitted model or a table of its results, made once per session."""
+    key = (s.spark.sparkContext.applicationId, s.sf_dir, s.cfg, name)
+    if key not in _KEPT:
+        _KEPT[key] = build()
+    return _KEPT[key]
 
 
 def _final_learned(s: Stages, kind: str) -> tuple[learned.DirectForecaster, DataFrame]:
     """The learner fitted on all that is known, and its forecasts; fitted once per session."""
-    key = (s.spark.sparkContext.applicationId, s.sf_dir, s.cfg, kind)
-    if key not in _FITTED:
-        forecaster, forecast = jobs.final_learned(s.training(), s.future(), kind, s.cfg)
-        _FITTED[key] = forecaster, staged(forecast, f"final-{kind}")
-    return _FITTED[key]
+
+    def build() -> tuple[learned.DirectForecaster, DataFrame]:
+        forecaster, forecast = jobs.final_learned(s.training(), s.future(), kind, s.cfg, TREES.get(kind))
+        return forecaster, staged(forecast, f"final-{kind}")
+
+    return _kept(s, f"final-{kind}", build)
+
+
+def _learned_fold(s: Stages, kind: str) -> DataFrame:
+    """Forecasts of the newest fold; fitted once per session."""
+    newest = max(s.cfg.backtest_origins)
+    return _kept(s, f"fold-{kind}", lambda: staged(jobs.learned_fold(s.training(), newest, kind, s.cfg, TREES.get(kind)), f"fold-{kind}"))
 
 
 def _learned_backtest(s: Stages, kind: str) -> DataFrame:
-    fold = jobs.learned_fold(s.training(), max(s.cfg.backtest_origins), kind, s.cfg)
-    return _sound(fold, "model_name", "series_id", "origin_day", "horizon", "target")
+    return _sound(_learned_fold(s, kind), "model_name", "series_id", "origin_day", "horizon", "target")
 
 
 @report
@@ -673,10 +689,131 @@ def gbt_forecast(s: Stages) -> DataFrame:
     return _learned_backtest(s, "gbt")
 
 
+FOLD_MODELS = ("tweedie", "gbt", "tweedie_trees")
+
+
+def _fold_points(s: Stages) -> DataFrame:
+    """Forecasts of the newest fold by the learned models and the baselines."""
+    frames = [_learned_fold(s, kind) for kind in FOLD_MODELS]
+    return reduce(DataFrame.unionByName, frames, s.backtests().where(F.col("fold_origin") == max(s.cfg.backtest_origins)))
+
+
+@report
+def learned_fold_forecasts(s: Stages) -> DataFrame:
+    """All columns of the learned models' forecasts of the newest fold."""
+    return _fold_points(s).where(F.col("model_name").isin(*FOLD_MODELS))
+
+
+@report
+def learned_fold_errors(s: Stages) -> DataFrame:
+    """Errors of learned models and baselines on the newest fold."""
+    return accuracy.point_metrics(_fold_points(s), ["model_name", "fold_origin"])
+
+
+@report
+def trees_against_naive(s: Stages) -> DataFrame:
+    """Boosted trees must beat the seasonal naive forecast and the linear model, or the flag is false."""
+    found = {r["model_name"]: r["wape"] for r in accuracy.point_metrics(_fold_points(s), ["model_name"]).collect()}
+    mine = found["tweedie_trees"]
+    rows = [("tweedie_trees", other, mine < found[other]) for other in ("seasonal_naive", "tweedie")]
+    return s.spark.createDataFrame(rows, "model_name string, other string, better boolean")
+
+
+@report
+def tweedie_trees_forecast(s: Stages) -> DataFrame:
+    return _learned_backtest(s, "tweedie_trees")
+
+
+def _trees_losses(s: Stages) -> DataFrame:
+    forecaster, _ = _final_learned(s, "tweedie_trees")
+    rows = list(enumerate(forecaster.model.losses))
+    falls = [(k, v, not k or v <= rows[k - 1][1]) for k, v in rows]
+    return s.spark.createDataFrame(falls, "round int, loss double, falls boolean")
+
+
+@report
+def boosting_losses(s: Stages) -> DataFrame:
+    """Mean training loss before the first round and after every round."""
+    return _trees_losses(s)
+
+
+@report
+def boosting_loss_falls(s: Stages) -> DataFrame:
+    return _trees_losses(s).select("round", "falls")
+
+
+@report
+def tree_attribution(s: Stages) -> DataFrame:
+    """Shapley values of the boosted trees for every future row."""
+    forecaster, _ = _final_learned(s, "tweedie_trees")
+    return forecaster.explain(s.future())
+
+
+@report
+def tree_attribution_summary(s: Stages) -> DataFrame:
+    """Importance by feature from the Shapley values of the boosted trees."""
+    forecaster, _ = _final_learned(s, "tweedie_trees")
+    return attribution.attribution_global(forecaster.explain(s.future()))
+
+
+@report
+def tree_attribution_sums(s: Stages) -> DataFrame:
+    """Every future row: attributions and the base value give the prediction of the boosted trees."""
+    forecaster, _ = _final_learned(s, "tweedie_trees")
+    explained = forecaster.explain(s.future())
+    total = reduce(lambda a, b: a + b, [F.col(f"{attribution.PREFIX}{c}") for c in forecaster.features], F.col("base_value"))
+    summed = explained.select("series_id", "horizon", F.exp(total).alias("summed"))
+    predicted = forecaster.raw(s.future()).select("series_id", "horizon", "yhat")
+    close = F.abs(F.col("summed") - F.col("yhat")) <= 1e-9 * F.greatest(F.col("yhat"), F.lit(1.0))
+    return summed.join(predicted, ["series_id", "horizon"]).select("series_id", "horizon", close.alias("adds_up"))
+
+
+#: Trials, growth of the rows from rung to rung, and share of the rows of the last rung.
+HALVING = {"trials": 6, "keep": 3, "fraction": 0.3}
+
+
+def _halving(s: Stages) -> DataFrame:
+    def build() -> DataFrame:
+        train, _ = baselines.split_fold(s.training(), min(s.cfg.backtest_origins))
+        _, table = learned.halving_search(train, "tweedie_trees", seed=s.cfg.seed, **HALVING)
+        return staged(table, "halving")
+
+    return _kept(s, "halving", build)
+
+
+@report
+def halving_rungs(s: Stages) -> DataFrame:
+    """Every fit of the search over seven parameters, with its rows and error."""
+    return _halving(s)
+
+
+@report
+def halving_structure(s: Stages) -> DataFrame:
+    """Candidates and survivors of every rung, and whether the survivors have the lowest errors."""
+    worst, best_lost = F.max(F.when(F.col("kept"), F.col("wape"))), F.min(F.when(~F.col("kept"), F.col("wape")))
+    return _halving(s).groupBy("rung").agg(
+        F.count(F.lit(1)).alias("candidates"), F.count_if("kept").alias("kept"),
+        F.coalesce(worst <= best_lost, F.lit(True)).alias("lowest_kept"),
+    )
+
+
+def _grid_search(s: Stages) -> DataFrame:
+    def build() -> DataFrame:
+        train, _ = baselines.split_fold(s.training(), min(s.cfg.backtest_origins))
+        return staged(learned.search_parameters(train, "tweedie", s.cfg.tune_fraction, s.cfg.seed)[1], "grid-search")
+
+    return _kept(s, "grid-search", build)
+
+
+@report
+def grid_search_errors(s: Stages) -> DataFrame:
+    """Every candidate of the grid with its error."""
+    return _grid_search(s)
+
+
 @report
 def temporal_grid_search(s: Stages) -> DataFrame:
-    train, _ = baselines.split_fold(s.training(), min(s.cfg.backtest_origins))
-    _, table = learned.search_parameters(train, "tweedie", s.cfg.tune_fraction, s.cfg.seed)
+    table = _grid_search(s)
     lowest = table.agg(F.min("wape").alias("lowest"))  # one row
     return table.crossJoin(F.broadcast(lowest)).select(
         "kind",
@@ -688,13 +825,34 @@ def temporal_grid_search(s: Stages) -> DataFrame:
     )
 
 
+def _newest_split(s: Stages) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fit, validation and evaluation rows of the newest fold."""
+    train, evaluation = baselines.split_fold(s.training(), max(s.cfg.backtest_origins))
+    return *baselines.validation_split(train), evaluation
+
+
+def _hurdle(s: Stages) -> DataFrame:
+    """Hurdle forecasts of the newest fold's validation and evaluation rows."""
+
+    def build() -> DataFrame:
+        fit_rows, validation, evaluation = _newest_split(s)
+        both = stamped(validation, part="validation").unionByName(stamped(evaluation, part="evaluation"))
+        return staged(learned.hurdle_forecast(fit_rows, both, s.cfg.seed), "hurdle-rows")
+
+    return _kept(s, "hurdle", build)
+
+
+@report
+def hurdle_points(s: Stages) -> DataFrame:
+    """Sale probability, amount and forecast of every row of the newest fold."""
+    wanted = ("series_id", "origin_day", "horizon", "target", "sale_probability", "sale_amount", "yhat")
+    return _hurdle(s).where("part = 'evaluation'").select(*wanted)
+
+
 @report
 def hurdle_forecast(s: Stages) -> DataFrame:
-    train, evaluation = baselines.split_fold(s.training(), max(s.cfg.backtest_origins))
-    fit_rows, _ = baselines.validation_split(train)
-    made = learned.hurdle_forecast(fit_rows, evaluation, s.cfg.seed)
     product = F.col("sale_probability") * F.col("sale_amount")
-    return made.select(
+    return _hurdle(s).where("part = 'evaluation'").select(
         "series_id",
         "horizon",
         "target",
@@ -703,10 +861,40 @@ def hurdle_forecast(s: Stages) -> DataFrame:
     )
 
 
+def _objectives(s: Stages) -> DataFrame:
+    def build() -> DataFrame:
+        train, evaluation = baselines.split_fold(s.training(), max(s.cfg.backtest_origins))
+        return staged(learned.compare_objectives(train, evaluation), "objectives")
+
+    return _kept(s, "objectives", build)
+
+
+@report
+def objective_errors(s: Stages) -> DataFrame:
+    """Errors of every loss, the hurdle and the seasonal mean on the newest fold: raw, unbiased, with threshold and scale."""
+    _, validation, evaluation = _newest_split(s)
+    means = [
+        part.withColumn("yhat", adjust.seasonal_mean()).where(F.col("yhat").isNotNull()) for part in (validation, evaluation)
+    ]
+    hurdle = [_hurdle(s).where(F.col("part") == part) for part in ("validation", "evaluation")]
+    rows = [("hurdle_expected_value", *learned.adjusted_errors(*hurdle)), ("seasonal_mean_5", *learned.adjusted_errors(*means))]
+    return _objectives(s).unionByName(s.spark.createDataFrame(rows, f"variant string, {learned.ERROR_SCHEMA}"))
+
+
+@report
+def blend_on_evaluation(s: Stages) -> DataFrame:
+    """The blend of boosted trees and seasonal mean chosen on the validation rows, scored on the evaluation rows."""
+    fit_rows, validation, evaluation = _newest_split(s)
+    model = learned.DirectForecaster("tweedie_trees", TREES["tweedie_trees"], s.cfg.seed).fit_model(fit_rows)
+    rows = [learned.blend_errors(model, validation, evaluation)]
+    return s.spark.createDataFrame(
+        rows, "weight double, scale double, validation_wape double, evaluation_wape double, evaluation_bias double"
+    )
+
+
 @report
 def objective_comparison(s: Stages) -> DataFrame:
-    train, evaluation = baselines.split_fold(s.training(), max(s.cfg.backtest_origins))
-    found = learned.compare_objectives(train, evaluation)
+    found = _objectives(s)
     return found.select(
         "variant",
         (F.col("scale") > 0).alias("scaled"),
@@ -716,6 +904,18 @@ def objective_comparison(s: Stages) -> DataFrame:
     )
 
 
+@report
+def learned_final_rows(s: Stages) -> DataFrame:
+    """All columns of the final forecasts of the linear model and the boosted trees."""
+    return _final_learned(s, "tweedie")[1].unionByName(_final_learned(s, "tweedie_trees")[1])
+
+
+@report
+def glm_attribution_rows(s: Stages) -> DataFrame:
+    """Attributions of the linear model for every future row."""
+    return _final_learned(s, "tweedie")[0].explain(s.future())
+
+
 @report
 def learned_final_forecast(s: Stages) -> DataFrame:
     forecaster, forecast = _final_learned(s, "tweedie")

@@ -76,6 +76,17 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def dropped(frame: DataFrame) -> None:
+    """Delete the staged files that a frame reads, when no later plan needs them; other files stay."""
+    spark = frame.sparkSession
+    root, jvm = staging_root(spark), spark.sparkContext._jvm
+    folders = {path.rsplit("/", 1)[0] for path in frame.inputFiles()}
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getParent().toUri().getPath() == jvm.org.apache.hadoop.fs.Path(root).toUri().getPath():
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def without_lineage(frame: DataFrame) -> DataFrame:
     return frame.drop(*LINEAGE)
 

@@ -324,7 +324,7 @@ add("recommendation_contract", rules("advice", {
 add("future_blind_audit", "SELECT count(*) AS row_count, 0 AS differences FROM train WHERE origin_day = 2443", "train")
 
 # Learned models: the rows forecast, and properties that hold whatever the fitted digits are.
-for _kind in ("tweedie", "gbt"):
+for _kind in ("tweedie", "gbt", "tweedie_trees"):
     add(f"{_kind}_forecast", f"""
 SELECT '{_kind}' AS model_name, series_id, origin_day, horizon, target, true AS ordered, true AS valid
 FROM train WHERE origin_day = 2443""", "train", rounded=["target"])
@@ -335,9 +335,14 @@ FROM (VALUES (0.001::DOUBLE), (0.01), (0.1)) a(r), (VALUES (1.1::DOUBLE), (1.3),
 add("hurdle_forecast", "SELECT series_id, horizon, target, true AS probable, true AS product_holds FROM train WHERE origin_day = 2443",
     "train", rounded=["target"])
 add("objective_comparison", """
-SELECT unnest(['tweedie_1.1', 'tweedie_1.2', 'tweedie_1.5', 'l1', 'poisson', 'huber']) AS variant, true AS scaled, true AS scored,
+SELECT unnest(['tweedie_1.1', 'tweedie_1.2', 'tweedie_1.5', 'l1', 'quantile_0.5', 'poisson', 'huber']) AS variant, true AS scaled, true AS scored,
        true AS consistent""")
 add("learned_final_forecast", f"SELECT {IDS}, origin_day, horizon, true AS ordered, true AS valid, true AS factor_bounded FROM future", "future")
+add("trees_against_naive", "SELECT 'tweedie_trees' AS model_name, unnest(['seasonal_naive', 'tweedie']) AS other, true AS better")
+add("boosting_loss_falls", "SELECT round::INT AS round, true AS falls FROM range(11) r(round)")
+add("tree_attribution_sums", "SELECT series_id, horizon, true AS adds_up FROM future", "future")
+add("halving_structure", """
+SELECT * FROM (VALUES (0, 6, 2, true), (1, 2, 1, true), (2, 1, 1, true)) v(rung, candidates, kept, lowest_kept)""")
 add("glm_attribution", "SELECT series_id, horizon, true AS adds_up FROM future", "future")
 
 add("state_snap_days", """

@@ -13,8 +13,16 @@ CHECKED = (
 )
 
 
+# Results of fitted models, whose digits follow the learner's arithmetic; tests/test_boosting.py holds them to plain forms.
+FITTED = {
+    "learned_fold_forecasts", "learned_fold_errors", "boosting_losses", "tree_attribution", "tree_attribution_summary",
+    "halving_rungs", "grid_search_errors", "hurdle_points", "objective_errors", "blend_on_evaluation", "learned_final_rows",
+    "glm_attribution_rows",
+}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) <= set(entry.oracle_sql())
+    assert set(QUERIES) - FITTED <= set(entry.oracle_sql()) and not FITTED & set(entry.oracle_sql())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
