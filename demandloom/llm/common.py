@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +55,29 @@ def drop_staged(frame: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_STORES: list[Callable[[], object]] = []
+_SERVED = [""]
+
+
+def emptied_by(clear: Callable[[], object]) -> None:
+    """Register how a store that workers keep between tasks is emptied."""
+    _STORES.append(clear)
+
+
+def entered(operator: str) -> None:
+    """Called as a task begins: a reused worker that served another operator empties its stores and gives memory back."""
+    if _SERVED[0] == operator:
+        return
+    _SERVED[0] = operator
+    for clear in _STORES:
+        clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of Linux keeps freed memory otherwise
+    if trim:
+        trim(0)
+
+
 def large_text(column: pa.Array) -> pa.Array:
     """The column as large strings without nulls (null counts as empty)."""
     column = column.cast(pa.large_string())

@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import new_path, staged, text_slices
+from demandloom.llm.common import emptied_by, new_path, staged, text_slices
 
 NULL_ID = -(2**63)
 #: Rows of a file that share a part.
@@ -83,6 +83,7 @@ def stored_by_part(rows: DataFrame, name: str) -> str:
 
 
 _PARTS: OrderedDict[tuple[str, int], pa.Table | None] = OrderedDict()
+emptied_by(_PARTS.clear)
 
 
 def part_table(path: str, part: int, columns: list[str]) -> pa.Table | None:

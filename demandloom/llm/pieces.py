@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import ranges
+from demandloom.llm.common import emptied_by, entered, ranges
 
 BLANK = "▁"
 _LED = re.compile(BLANK + "+[^" + BLANK + "]*")
-#: Words kept by a worker before its store is emptied.
-KEPT_WORDS = 600_000
+#: Bytes that the words kept by a worker may take, about, before its store is emptied, and of a word besides its text.
+KEPT_BYTES, WORD_BYTES = 32 << 20, 130
+#: Characters of new words that are merged in one step, characters and rows of texts encoded in one.
+MERGED_CHARS, RUN_CHARS, RUN_ROWS = 1 << 18, 1 << 20, 1024
 
 
 class KeyTable:
@@ -225,6 +227,7 @@ class PieceCoder:
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
+        self.held = 0
         self.flat = np.zeros(1 << 16, np.int32)
         self.bounds = np.zeros(1 << 12, np.int64)
 
@@ -251,11 +254,16 @@ class PieceCoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text as the library gives them, with begin and end."""
         split = [self.keys(text) for text in texts]
-        if len(self.known) > KEPT_WORDS:
+        if self.held > KEPT_BYTES:
             self._clear()
         fresh = list(set().union(*split) - self.known.keys())
-        if fresh:
-            self._learn(fresh)
+        size = np.cumsum([len(key) for key in fresh]) if fresh else np.zeros(0, np.int64)
+        first = 0
+        while first < len(fresh):
+            end = int(np.searchsorted(size, (size[first - 1] if first else 0) + MERGED_CHARS)) + 1
+            self._learn(fresh[first:end])
+            first = end
+        self.held += sum(map(len, fresh)) + WORD_BYTES * len(fresh)
         out = []
         for keys in split:
             index = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
@@ -306,6 +314,7 @@ def _bytewise(raw: bytes) -> str:
 
 
 _CODERS: dict[str, PieceCoder] = {}
+emptied_by(_CODERS.clear)
 
 
 def coder(path: str) -> PieceCoder:
@@ -319,8 +328,9 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id, the ids of the whole text with begin and end, and the text decoded from them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entered("pieces")
         piece = coder(model_path)
-        for batch, texts in text_runs(batches):
+        for batch, texts in text_runs(batches, RUN_CHARS, rows=RUN_ROWS):
             ids = piece.encode(texts)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -339,8 +349,9 @@ def digest_documents(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256: the digests of `encode_documents`, made where the ids are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entered("pieces")
         piece = coder(model_path)
-        for batch, texts in text_runs(batches):
+        for batch, texts in text_runs(batches, RUN_CHARS, rows=RUN_ROWS):
             ids = piece.encode(texts)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -357,14 +368,19 @@ def digest_documents(docs: DataFrame, model_path: str) -> DataFrame:
 
 
 def text_runs(
-    batches: Iterator[pa.RecordBatch], most: int = 4 << 20, at: int = 1
+    batches: Iterator[pa.RecordBatch], most: int = 4 << 20, at: int = 1, rows: int | None = None
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Stretches of rows, with their texts in column `at`, of about `most` characters, so memory follows the longest text, not the batch."""
-    for batch in batches:
-        texts = [text or "" for text in batch.column(at).to_pylist()]
-        first, size = 0, 0
-        for n, text in enumerate(texts):
-            size += len(text)
-            if size >= most or n == len(texts) - 1:
-                yield batch.slice(first, n + 1 - first), texts[first: n + 1]
-                first, size = n + 1, 0
+    """Stretches of rows, with their texts in column `at`, of about `most` characters and at most `rows` rows.
+
+    Memory follows the longest text, not the batch.
+    """
+    for whole in batches:
+        step = rows or max(whole.num_rows, 1)
+        for batch in (whole.slice(begin, step) for begin in range(0, whole.num_rows, step)):
+            texts = [text or "" for text in batch.column(at).to_pylist()]
+            first, size = 0, 0
+            for n, text in enumerate(texts):
+                size += len(text)
+                if size >= most or n == len(texts) - 1:
+                    yield batch.slice(first, n + 1 - first), texts[first: n + 1]
+                    first, size = n + 1, 0

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from demandloom.llm.common import ranges, span_hashes
+from demandloom.llm.common import emptied_by, entered, ranges, span_hashes
 from demandloom.llm.parts import NULL_ID, cuts_of, hashes_of, pack, part_table, slices, stored_by_part, unpack, with_part
 from demandloom.llm.suffix_array import maximal_repeats
 
@@ -120,6 +120,7 @@ def seen_runs(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entered("repeats")
         at, hashes, ids, size = None, [], [], 0
         for part, own, data, bounds in slices(batches):
             if hashes and (part != at or size > SEEN_RUNS):
@@ -191,6 +192,9 @@ def known(path: str, part: int) -> tuple[np.ndarray, np.ndarray]:
     return h[order], hot[order]
 
 
+emptied_by(known.cache_clear)
+
+
 def shared_runs(path: str, part: int, data: np.ndarray, bounds: np.ndarray):
     """Shared runs of a slice as (hash, first, last, row, key of the bytes), and hot windows as (start, row, two keys)."""
     h, first, last, row = runs_of(data, bounds)
@@ -247,6 +251,7 @@ def sent_runs(path: str, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], I
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entered("repeats")
         at, cold, hot, size = None, [], [], 0
         for part, own, data, bounds in slices(batches):
             if part != at or size > SENT_RUNS:
@@ -376,6 +381,9 @@ def verdicts(path: str, part: int) -> Verdicts:
     return Verdicts(part_table(path, part, ["keys", "low", "piece_at", "piece_first", "piece_last", "piece_low"]))
 
 
+emptied_by(verdicts.cache_clear)
+
+
 # -- pass 3: removal --------------------------------------------------------------------------------------------------
 
 
@@ -422,6 +430,7 @@ def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     rows, shared, found = _tables(docs, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entered("repeats")
         for part, ids, data, bounds in slices(batches):
             gone = covered_bytes(shared, found, part, ids, data, bounds)
             row, first, end = spans_of(gone, bounds)
@@ -446,6 +455,7 @@ def deduplicate(docs: DataFrame, hot: int = HOT) -> DataFrame:
     rows, shared, found = _tables(docs, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entered("repeats")
         for part, ids, data, bounds in slices(batches):
             gone = covered_bytes(shared, found, part, ids, data, bounds)
             row, _, _ = spans_of(gone, bounds)

@@ -38,6 +38,8 @@ def test_quality_counts(documents, odd, none, shared):
     rng = random.Random(1)
     loose = ["".join(rng.choice("ab é\n\t#|") for _ in range(rng.randrange(90))) for _ in range(400)]
     loose += [" ".join(rng.choice("ab") for _ in range(rng.randrange(60))) for _ in range(200)]
+    one = "".join("ab"[n.bit_count() & 1] for n in range(2048))  # and its complement: no polynomial hash tells them apart
+    loose += [f"{one}\n{one.translate(str.maketrans('ab', 'ba'))}"]
     loose += ["a\n\na\n a\na \n", "\n", "\x0b\x0c", "x y z \x85", "l1\nl2\nl1\nl1"]
     frames = [documents, odd, shared.createDataFrame(list(enumerate(loose)), "doc_id long, text string")]
     model = quality.Model(np.zeros(3 * quality.BUCKETS), 0.0, 0.0, 1.0)
