@@ -47,6 +47,29 @@ def unpack(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=9).astype(np.int64) + int.from_bytes(data[1:9], "little", signed=True)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Whole numbers (signed or not) as the least one and the bytes of the differences, one plane of bytes after another."""
+    if not len(values):
+        return b""
+    least = values.min()
+    rest = values.astype("<i8", copy=False).view("<u8") - np.asarray(least).astype("<i8").view("<u8")
+    width = (int(rest.max()).bit_length() + 7) // 8
+    flat = rest.view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + np.asarray(least).astype("<i8").tobytes() + np.ascontiguousarray(flat).tobytes()
+
+
+def unplanes(data: bytes, count: int, first: int = 0, end: int | None = None) -> np.ndarray:
+    """Entries first to end of `count` signed numbers in planes."""
+    end = count if end is None else end
+    if end <= first:
+        return np.zeros(0, np.int64)
+    width = data[0]
+    flat = np.zeros((end - first, 8), np.uint8)
+    if width:
+        flat[:, :width] = np.frombuffer(data, np.uint8, offset=9).reshape(width, count)[:, first:end].T
+    return (flat.view("<u8").ravel() + np.frombuffer(data, "<u8", 1, 1)).view("<i8")
+
+
 def hashes_of(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<u8")
 

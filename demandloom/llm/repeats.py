@@ -4,16 +4,20 @@ Every string of WINDOW bytes has a minimiser: the leftmost smallest hash of its
 fall into runs with one minimiser each, so equal windows, wherever they stand, meet under the same hash. The work goes in
 three passes over the texts, which are never shuffled:
 
-1. every task sends the distinct minimiser hashes of its texts, and gets back those that two documents or more have;
-2. for those runs only, tasks send the run's bytes (equal runs of a task once, with the smallest doc_id). Each receiver
-   builds an enhanced suffix array over the different runs that share a minimiser, scans its interval tree for maximal
-   repeats of at least WINDOW bytes with all their occurrences, and gives every window the smallest doc_id that has it;
+1. every task sends each different run of its texts once for each part, as two hashes (of the minimiser and of the run's
+   bytes) with the smallest doc_id. A minimiser whose runs are all equal, as inside copies and shared passages, is settled
+   there: the smallest doc_id goes back. Of a minimiser with several different runs, one part is asked for the bytes of
+   each;
+2. tasks send those bytes, once for each different run of the corpus. Each receiver builds an enhanced suffix array over
+   the different runs that share a minimiser, scans its interval tree for maximal repeats of at least WINDOW bytes with all
+   their occurrences, and sends back the stretches of windows that a smaller doc_id has in another run;
 3. every task removes the bytes of windows that a smaller doc_id has, and digests the rest.
 
 What goes back to a text is stored in the shared folder by the block of rows of the file that the text is read from, so it
-is read by the tasks that need it and held in parts of bounded size, however large the files are. A minimiser that very many documents have (HOT) would gather as many different
-runs in one place; its windows are sent one by one under a hash of their own instead (128 bits), where equal ones
-are merged before they are sent.
+is read by the tasks that need it and held in parts of bounded size, however large the files are. Messages are packed by
+size, whatever number of parts a task reads: one row for each stretch of hashes, of which there are as many as the bytes of
+the corpus ask for. A minimiser with very many different runs (HOT) would gather them all in one place; the windows of its
+runs are sent one by one under a hash of their own instead, where equal ones are merged before they are sent.
 
 Defined cases: null text has no bytes; a null doc_id counts as smaller than any other; rows with the same doc_id do not
 remove each other's bytes; texts shorter than WINDOW bytes lose nothing; texts of any length are handled in slices of
@@ -29,18 +33,25 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from demandloom.llm.common import emptied_by, entered, ranges, span_hashes
-from demandloom.llm.parts import NULL_ID, cuts_of, hashes_of, pack, part_table, slices, stored_by_part, unpack, with_part
+from demandloom.llm.parts import (
+    NULL_ID, hashes_of, pack, part_table, planes, slices, stored_by_part, unpack, unplanes, with_part,
+)
 from demandloom.llm.suffix_array import maximal_repeats
 
 WINDOW, GRAM = 50, 16
-#: Documents with the same minimiser from which its windows travel alone.
+#: Different runs with the same minimiser from which its windows travel alone.
 HOT = 400
-#: Runs that a task gathers before it sends their hashes, and before it sends their bytes.
-SEEN_RUNS, SENT_RUNS = 800_000, 250_000
-#: Buckets of hashes in each partition of a shuffle; one bucket is unpacked at a time.
-BUCKETS = 16
+#: Runs that a task gathers before it sends them.
+SENT_RUNS = 800_000
+#: Bytes of runs that a task gathers before it sends them.
+SENT_BYTES = 8 << 20
+#: Text bytes of the corpus for each stretch of hashes.
+STRETCH_BYTES = 16 << 20
+#: Entries that a receiver unpacks at a time, and different runs in one suffix array (more only within one minimiser).
+UNPACKED, SORTED_RUNS = 400_000, 6_000
 
 
 # -- runs of a text ---------------------------------------------------------------------------------------------------
@@ -87,184 +98,235 @@ def runs_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return best[first], first, last, np.searchsorted(bounds, first, side="right") - 1
 
 
-# -- pass 1: shared minimisers ----------------------------------------------------------------------------------------
-
-SEEN = "bucket int, part long, hashes binary, low binary, many_at binary, many_high binary, many_n binary"
-
-
-def seen_runs(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Distinct hashes of a task's texts with the smallest id; the largest and the count where there are several."""
-
-    def send(part: int, hashes: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
-        h, d = np.concatenate(hashes), np.concatenate(ids)
-        order = np.lexsort((d, h))
-        h, d = h[order], d[order]
-        head = np.r_[True, h[1:] != h[:-1]]
-        first = np.flatnonzero(head)
-        last = np.append(first[1:], len(h)) - 1
-        n = np.add.reduceat(np.r_[True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])].astype(np.int64), first)
-        h, low, high = h[first], d[first], d[last]
-        cuts = cuts_of(h, buckets)
+# -- messages ---------------------------------------------------------------------------------------------------------
+
+MESSAGE = "stretch int, alone boolean, hashes binary, keys binary, parts binary, part_at binary, low binary, many binary, sizes binary, bytes binary"
+_KINDS = [pa.int32(), pa.bool_()] + [pa.binary()] * 8
+_NAMES = ["stretch", "alone", "hashes", "keys", "parts", "part_at", "low", "many", "sizes", "bytes"]
+#: Minimisers and windows are told by the upper bits of their hash and by a second hash of 64 bits.
+HASH_BITS = 48
+
+
+class Outbox:
+    """Entries (hash, key, part, id) of a task, sent in ascending hashes, one row for each stretch of them."""
+
+    def __init__(self, stretches: int, alone: bool):
+        self.stretches, self.alone = stretches, alone
+        self.empty()
+
+    def empty(self) -> None:
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.parts: list[int] = []
+        self.size = self.bytes = 0
+
+    def add(self, part: int, hashes: np.ndarray, keys: np.ndarray, ids: np.ndarray, sizes=None, text=None) -> None:
+        if not len(hashes):
+            return
+        if not self.parts or self.parts[-1] != part:
+            self.parts.append(part)
+        at = np.full(len(hashes), len(self.parts) - 1, np.int32)
+        sizes = np.zeros(len(hashes), np.int64) if sizes is None else sizes
+        text = np.zeros(0, np.uint8) if text is None else text
+        self.held.append((hashes, keys, at, ids, sizes, text))
+        self.size += len(hashes)
+        self.bytes += len(text)
+
+    def full(self) -> bool:
+        return self.size > SENT_RUNS or self.bytes > SENT_BYTES
+
+    def send(self) -> Iterator[pa.RecordBatch]:
+        """Each (hash, key) of a part once, with the smallest id and whether there are several, and its bytes if any."""
+        if not self.held:
+            return
+        h, keys, at, ids, sizes, text = (np.concatenate(c) for c in zip(*self.held, strict=True))
+        begin = np.cumsum(sizes) - sizes
+        order = np.lexsort((keys, h))  # stable: parts stay in their order
+        h, keys, at, ids = h[order], keys[order], at[order], ids[order]
+        first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (keys[1:] != keys[:-1]) | (at[1:] != at[:-1])])
+        low, many = np.minimum.reduceat(ids, first), np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)
+        h, keys, at, source = h[first], keys[first], at[first], order[first]
+        edges = [(k << HASH_BITS) // self.stretches for k in range(1, self.stretches)]
+        cuts = [0, *np.searchsorted(h, np.array(edges, np.uint64)).tolist(), len(h)]
+        parts = np.array(self.parts, np.int64).tobytes()
         out = []
-        for k in range(buckets):
+        for k in range(self.stretches):
             s = slice(cuts[k], cuts[k + 1])
             if cuts[k] == cuts[k + 1]:
                 continue
-            many = np.flatnonzero(n[s] > 1)
-            out.append((k, part, h[s].tobytes(), pack(low[s]), pack(many), pack(high[s][many]), pack(n[s][many])))
-        columns = list(zip(*out, strict=True))
-        kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 5
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            names=["bucket", "part", "hashes", "low", "many_at", "many_high", "many_n"],
+            raw = lengths = b""
+            if not self.alone and len(text):
+                own = source[s]
+                raw = text[ranges(begin[own], sizes[own])].tobytes()
+                lengths = planes(sizes[own])
+            steps = np.diff(h[s], prepend=np.uint64(0))
+            flags = np.packbits(many[s]).tobytes()
+            out.append((k, self.alone, planes(steps[:1]) + planes(steps[1:]), keys[s].tobytes(), parts, planes(at[s]),
+                        planes(low[s]), flags, lengths, raw))
+        self.empty()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*out, strict=True), _KINDS, strict=True)], names=_NAMES
         )
 
+
+def by_stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, dict[str, np.ndarray]]]:
+    """Columns of all entries of a range of hashes, unpacked a bounded number at a time; a hash is never divided."""
+    held: dict[tuple[int, bool], list[dict]] = {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            held.setdefault((row["stretch"], row["alone"]), []).append(row)
+    while held:
+        key = next(iter(held))
+        rows = held.pop(key)
+        counts = [len(r["keys"]) // 8 for r in rows]
+        hashes = []
+        for r, n in zip(rows, counts, strict=True):
+            front = 9 + r["hashes"][0]
+            steps = np.concatenate([unplanes(r["hashes"][:front], 1), unplanes(r["hashes"][front:], n - 1)])
+            hashes.append(np.cumsum(steps))
+        pieces = -(-sum(counts) // UNPACKED)
+        low, high = min(int(h[0]) for h in hashes), max(int(h[-1]) for h in hashes) + 1
+        edges = [low + (high - low) * k // pieces for k in range(pieces + 1)]
+        for k in range(pieces):
+            found: list[tuple[np.ndarray, ...]] = []
+            for r, n, h in zip(rows, counts, hashes, strict=True):
+                a, b = np.searchsorted(h, edges[k: k + 2]).tolist()
+                if a == b:
+                    continue
+                sizes = unplanes(r["sizes"], n) if r["sizes"] else np.zeros(n, np.int64)
+                skip, size = int(sizes[:a].sum()), int(sizes[a:b].sum())
+                parts = np.frombuffer(r["parts"], np.int64)[unplanes(r["part_at"], n, a, b)]
+                many = np.unpackbits(np.frombuffer(r["many"], np.uint8), count=n)[a:b].astype(bool)
+                text = np.frombuffer(r["bytes"], np.uint8)[skip: skip + size]
+                found.append((h[a:b], hashes_of(r["keys"])[a:b], parts, unplanes(r["low"], n, a, b), many, sizes[a:b], text))
+            if found:
+                names = ("hashes", "keys", "parts", "low", "many", "sizes", "text")
+                yield key[1], {name: np.concatenate(c) for name, c in zip(names, zip(*found, strict=True), strict=True)}
+
+
+# -- pass 1: shared minimisers ----------------------------------------------------------------------------------------
+
+#: What is known of a run: settled, several runs share its minimiser, the same and its bytes are asked for, hot.
+SETTLED, MIXED, ASKED, ALONE = range(4)
+
+
+def runs_with_keys(data: np.ndarray, bounds: np.ndarray):
+    """Upper bits of the minimiser, hash of the bytes, first and last window, and row of every run."""
+    h, first, last, row = runs_of(data, bounds)
+    return h >> np.uint64(64 - HASH_BITS), span_hashes(data, first, last + WINDOW) ^ h, first, last, row
+
+
+def seen_runs(stretches: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entered("repeats")
-        at, hashes, ids, size = None, [], [], 0
+        box = Outbox(stretches, alone=False)
         for part, own, data, bounds in slices(batches):
-            if hashes and (part != at or size > SEEN_RUNS):
-                yield send(at, hashes, ids)
-                hashes, ids, size = [], [], 0
-            h, _, _, row = runs_of(data, bounds)
-            if len(h):
-                at, size = part, size + len(h)
-                hashes.append(h)
-                ids.append(own[row])
-        if hashes:
-            yield send(at, hashes, ids)
+            h, keys, _, _, row = runs_with_keys(data, bounds)
+            box.add(part, h, keys, own[row])
+            if box.full():
+                yield from box.send()
+        yield from box.send()
 
     return run
 
 
-def shared_hashes(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """For every part its hashes that several documents have, and whether more than `most` documents do."""
-    for rows in by_bucket(batches):
-        yield from _shared_hashes(rows, most)
-
-
-def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """The packed rows of one bucket after another, so that only one bucket is unpacked at a time."""
-    held: dict[int, list[dict]] = {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            held.setdefault(row["bucket"], []).append(row)
-    while held:
-        yield held.pop(next(iter(held)))
-
-
-def _shared_hashes(rows: list[dict], most: int) -> Iterator[pa.RecordBatch]:
-    h = np.concatenate([hashes_of(r["hashes"]) for r in rows])
-    low = np.concatenate([unpack(r["low"]) for r in rows])
-    high, n = low.copy(), np.ones(len(h), np.int64)
-    sizes = np.array([len(r["hashes"]) // 8 for r in rows])
-    begin = np.cumsum(sizes) - sizes
-    for r, b in zip(rows, begin.tolist(), strict=True):
-        many = unpack(r["many_at"]) + b
-        high[many], n[many] = unpack(r["many_high"]), unpack(r["many_n"])
-    order = np.argsort(h, kind="stable")
-    first = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1]])
-    group = np.cumsum(np.r_[True, h[order][1:] != h[order][:-1]]) - 1
-    shared = np.minimum.reduceat(low[order], first) != np.maximum.reduceat(high[order], first)
-    hot = np.add.reduceat(n[order], first) > most
-    keep, warm = np.zeros(len(h), dtype=bool), np.zeros(len(h), dtype=bool)
-    keep[order], warm[order] = shared[group], hot[group]
-    parts = np.repeat(np.array([r["part"] for r in rows]), sizes)[keep]
-    h, warm = h[keep], warm[keep]
-    for part in np.unique(parts).tolist():
-        own = parts == part
-        values, index = np.unique(h[own], return_index=True)
-        yield pa.RecordBatch.from_pydict(
-            {"part": pa.array([part], pa.int64()), "hashes": pa.array([values.tobytes()], pa.binary()),
-             "hot": pa.array([warm[own][index].tobytes()], pa.binary())}
-        )
+def settled(entries: dict[str, np.ndarray], hot: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries that need an answer, the smallest id of each one's bytes, and what is known of it."""
+    order = np.lexsort((entries["keys"], entries["hashes"]))
+    h, keys, low, many = (entries[name][order] for name in ("hashes", "keys", "low", "many"))
+    new = np.r_[True, h[1:] != h[:-1]]
+    other = new | np.r_[True, keys[1:] != keys[:-1]]
+    group, first = np.cumsum(new) - 1, np.flatnonzero(new)
+    least = np.minimum.reduceat(low, np.flatnonzero(other))[np.cumsum(other) - 1]
+    shared = (np.minimum.reduceat(low, first) != np.maximum.reduceat(low, first)) | np.logical_or.reduceat(many, first)
+    kinds = np.add.reduceat(other.astype(np.int64), first)
+    state = np.where(kinds == 1, SETTLED, np.where(kinds > hot, ALONE, MIXED)).astype(np.uint8)[group]
+    state[other & (state == MIXED)] = ASKED
+    # the only document of a part that has the bytes learns nothing if it is the smallest that has them
+    needed = shared[group] & ((kinds[group] > 1) | many | (low > least))
+    return order[needed], least[needed], state[needed]
+
+
+def settle(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.RecordBatch]:
+    """For every part its runs that other documents may have, with the smallest id and what is known of them."""
+    for _, entries in by_stretch(batches):
+        at, least, state = settled(entries, hot)
+        parts, keys = entries["parts"][at], entries["keys"][at]
+        order = np.lexsort((state, keys, parts))
+        edges = np.flatnonzero(np.r_[True, np.diff(parts[order]) != 0, True]) if len(order) else []
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            own = order[a:b]
+            columns = [keys[own].tobytes(), planes(least[own]), state[own].tobytes()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([parts[own[0]]], pa.int64()), *(pa.array([c], pa.binary()) for c in columns)],
+                names=["part", "keys", "low", "state"],
+            )
 
 
 @functools.lru_cache(maxsize=2)
-def known(path: str, part: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending shared hashes of a part, and whether each is hot."""
-    table = part_table(path, part, ["hashes", "hot"])
+def known(path: str, part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ascending keys of a part's runs that others may have, their smallest ids, and what is known of them."""
+    table = part_table(path, part, ["keys", "low", "state"])
     if table is None:
-        return np.zeros(0, np.uint64), np.zeros(0, dtype=bool)
-    h = np.concatenate([hashes_of(x.as_py()) for x in table.column("hashes")])
-    hot = np.concatenate([np.frombuffer(x.as_py(), dtype=bool) for x in table.column("hot")])
-    order = np.argsort(h, kind="stable")
-    return h[order], hot[order]
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+    rows = table.to_pylist()
+    keys = np.concatenate([hashes_of(r["keys"]) for r in rows])
+    low = np.concatenate([unplanes(r["low"], len(r["state"])) for r in rows])
+    state = np.concatenate([np.frombuffer(r["state"], np.uint8) for r in rows])
+    order = np.lexsort((state, keys))
+    last = order[np.r_[keys[order][1:] != keys[order][:-1], True]]  # asked for, if any of the same run is
+    return keys[last], low[last], state[last]
 
 
 emptied_by(known.cache_clear)
 
 
-def shared_runs(path: str, part: int, data: np.ndarray, bounds: np.ndarray):
-    """Shared runs of a slice as (hash, first, last, row, key of the bytes), and hot windows as (start, row, two keys)."""
-    h, first, last, row = runs_of(data, bounds)
-    table, hot = known(path, part)
-    at = np.searchsorted(table, h)
+def found_in(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each key in the ascending table, and whether it is there."""
+    at = np.searchsorted(table, keys)
     hit = at < len(table)
-    hit[hit] = table[at[hit]] == h[hit]
-    warm = np.zeros(len(h), dtype=bool)
-    warm[hit] = hot[at[hit]]
-    cold = hit & ~warm
-    keys = span_hashes(data, first[cold], last[cold] + WINDOW) ^ h[cold]
-    counts = (last - first + 1)[warm]
-    start = ranges(first[warm], counts)
-    own = np.repeat(row[warm], counts)
-    one = span_hashes(data, start, start + WINDOW)
-    two = span_hashes(data ^ 0x5A, start, start + WINDOW) if len(start) else one
-    return (h[cold], first[cold], last[cold], row[cold], keys), (start, own, one, two)
+    hit[hit] = table[at[hit]] == keys[hit]
+    return at, hit
 
 
-# -- pass 2: smallest document of every shared window -----------------------------------------------------------------
+def lone_windows(data: np.ndarray, first: np.ndarray, last: np.ndarray, row: np.ndarray):
+    """Start, row and two hashes of every window of some runs."""
+    counts = last - first + 1
+    start = ranges(first, counts)
+    one = span_hashes(data, start, start + WINDOW) >> np.uint64(64 - HASH_BITS)
+    two = span_hashes(data ^ 0x5A, start, start + WINDOW)
+    return start, np.repeat(row, counts), one, two
 
-SENT = "bucket int, part long, hot boolean, hashes binary, keys binary, low binary, sizes binary, bytes binary"
 
+# -- pass 2: smallest document of the windows of different runs -------------------------------------------------------
 
-def sent_runs(path: str, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def send(part: int, cold: list, hot: list) -> Iterator[pa.RecordBatch]:
-        out = []
-        if cold:
-            h, keys, ids, sizes = (np.concatenate(c) for c in list(zip(*cold, strict=True))[:4])
-            text = np.concatenate([c[4] for c in cold])
-            begin = np.cumsum(sizes) - sizes
-            order = np.lexsort((ids, keys, h))
-            order = order[np.r_[True, (np.diff(keys[order]) != 0) | (np.diff(h[order]) != 0)]]
-            cuts = cuts_of(h[order], buckets)
-            for k in range(buckets):
-                own = order[cuts[k]: cuts[k + 1]]
-                if len(own):
-                    raw = text[ranges(begin[own], sizes[own])].tobytes()
-                    out.append((k, part, False, h[own].tobytes(), keys[own].tobytes(), pack(ids[own]), pack(sizes[own]), raw))
-        if hot:
-            one, two, ids = (np.concatenate(c) for c in zip(*hot, strict=True))
-            order = np.lexsort((ids, two, one))
-            order = order[np.r_[True, (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)]]
-            cuts = cuts_of(one[order], buckets)
-            for k in range(buckets):
-                own = order[cuts[k]: cuts[k + 1]]
-                if len(own):
-                    out.append((k, part, True, one[own].tobytes(), two[own].tobytes(), pack(ids[own]), b"", b""))
-        if out:
-            kinds = [pa.int32(), pa.int64(), pa.bool_()] + [pa.binary()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                names=["bucket", "part", "hot", "hashes", "keys", "low", "sizes", "bytes"],
-            )
+
+def sent_runs(path: str, stretches: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Runs whose minimiser has others, with their bytes where those are asked for, and the windows of hot minimisers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entered("repeats")
-        at, cold, hot, size = None, [], [], 0
+        mixed, alone = Outbox(stretches, alone=False), Outbox(stretches, alone=True)
         for part, own, data, bounds in slices(batches):
-            if part != at or size > SENT_RUNS:
-                yield from send(at, cold, hot)
-                at, cold, hot, size = part, [], [], 0
-            (h, first, last, row, keys), (start, hot_row, one, two) = shared_runs(path, part, data, bounds)
-            if len(h):
-                lengths = last - first + WINDOW
-                cold.append((h, keys, own[row], lengths, data[ranges(first, lengths)]))
-            if len(start):
-                hot.append((one, two, own[hot_row]))
-            size += len(h) + len(start)
-        yield from send(at, cold, hot)
+            h, keys, first, last, row = runs_with_keys(data, bounds)
+            table, low, state = known(path, part)
+            at, hit = found_in(table, keys)
+            kind = np.full(len(keys), SETTLED, np.uint8)
+            kind[hit] = state[at[hit]]
+            some = np.flatnonzero((kind == MIXED) | (kind == ASKED))
+            if len(some):
+                _, index = np.unique(keys[some], return_index=True)
+                some = some[index]
+                sizes = np.where(kind[some] == ASKED, last[some] - first[some] + WINDOW, 0)
+                mixed.add(part, h[some], keys[some], low[at[some]], sizes, data[ranges(first[some], sizes)])
+            hot = kind == ALONE
+            if hot.any():
+                _, rows, one, two = lone_windows(data, first[hot], last[hot], row[hot])
+                alone.add(part, one, two, own[rows])
+            for box in (mixed, alone):
+                if box.full():
+                    yield from box.send()
+        yield from mixed.send()
+        yield from alone.send()
 
     return run
 
@@ -272,86 +334,74 @@ def sent_runs(path: str, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], I
 FOUND = "part long, keys binary, low binary, piece_at binary, piece_first binary, piece_last binary, piece_low binary"
 
 
-def smallest_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For every part: the smallest id of each run sent, and of stretches of its windows where a smaller one has those."""
-    for rows in by_bucket(batches):
-        yield from _smallest_ids(rows)
-
-
-def _smallest_ids(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-    cold, hot = [r for r in rows if not r["hot"]], [r for r in rows if r["hot"]]
+def smaller_windows(
+    h: np.ndarray, sizes: np.ndarray, begin: np.ndarray, text: np.ndarray, low: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(run, first window, last window, smallest id) of stretches of windows that a smaller id has in another run.
+
+    Runs are in the order of their minimisers, each different run once.
+    """
+    edges = np.flatnonzero(np.r_[True, h[1:] != h[:-1], True])
+    a = 0
+    while a < len(h):
+        b = int(edges[max(np.searchsorted(edges, a + SORTED_RUNS, side="right") - 1, np.searchsorted(edges, a, side="right"))])
+        size, least = sizes[a:b], low[a:b]
+        data = text[ranges(begin[a:b], size)]
+        start = np.cumsum(size) - size
+        own = np.repeat(least, size)
+        best = own.copy()
+        for length, at, smallest in maximal_repeats(data, start, start + size, least, WINDOW):
+            covered = (at[:, None] + np.arange(length - WINDOW + 1)).ravel()
+            best[covered] = np.minimum(best[covered], smallest)
+        better = best < own
+        change = best[1:] != best[:-1]
+        edge = np.flatnonzero(better & np.r_[True, ~better[:-1] | change])
+        stop = np.flatnonzero(better & np.r_[~better[1:] | change, True])
+        # a stretch never crosses runs: the last WINDOW - 1 bytes of a run start no window
+        owner = np.searchsorted(start, edge, side="right") - 1
+        yield owner + a, edge - start[owner], stop - start[owner], best[edge]
+        a = b
+
+
+def smallest_ids(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.RecordBatch]:
+    """For every part: lone windows that others have, and stretches of its runs' windows where a smaller id has those."""
     empty = np.zeros(0, np.int64)
-    results = []
-    if hot:
-        sizes = np.array([len(r["hashes"]) // 8 for r in hot])
-        one = np.concatenate([hashes_of(r["hashes"]) for r in hot])
-        two = np.concatenate([hashes_of(r["keys"]) for r in hot])
-        low = np.concatenate([unpack(r["low"]) for r in hot])
-        order = np.lexsort((two, one))
-        head = np.r_[True, (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)]
-        least = np.minimum.reduceat(low[order], np.flatnonzero(head))[np.cumsum(head) - 1]
-        low[order] = least
-        results.append((np.repeat([r["part"] for r in hot], sizes), one, low, empty, empty, empty, empty))
-    if cold:
-        sizes = np.array([len(r["hashes"]) // 8 for r in cold])
-        h = np.concatenate([hashes_of(r["hashes"]) for r in cold])
-        keys = np.concatenate([hashes_of(r["keys"]) for r in cold])
-        low = np.concatenate([unpack(r["low"]) for r in cold]).copy()
-        lengths = np.concatenate([unpack(r["sizes"]) for r in cold])
-        text = np.concatenate([np.frombuffer(r["bytes"], np.uint8) for r in cold])
-        begin = np.cumsum(lengths) - lengths
-        order = np.lexsort((keys, h))
-        head = np.r_[True, (np.diff(keys[order]) != 0) | (np.diff(h[order]) != 0)]
-        kind = np.empty(len(h), np.int64)  # the different run that each entry is
-        kind[order] = np.cumsum(head) - 1
-        one_each = order[head]
-        least = np.minimum.reduceat(low[order], np.flatnonzero(head))
-        # minimisers with several different runs: their windows meet in a suffix array
-        group = np.cumsum(np.r_[True, h[one_each][1:] != h[one_each][:-1]]) - 1
-        several = np.flatnonzero(np.bincount(group)[group] > 1)
-        pieces = [[] for _ in range(4)]
-        if len(several):
-            pick = one_each[several]
-            size = lengths[pick]
-            data = text[ranges(begin[pick], size)]
-            start = np.cumsum(size) - size
-            best = np.repeat(least[several], size)
-            for length, at, smallest in maximal_repeats(data, start, start + size, least[several], WINDOW):
-                covered = (at[:, None] + np.arange(length - WINDOW + 1)).ravel()
-                best[covered] = np.minimum(best[covered], smallest)
-            better = best < np.repeat(least[several], size)
-            edge = np.flatnonzero(better & np.r_[True, ~better[:-1] | (best[1:] != best[:-1])])
-            stop = np.flatnonzero(better & np.r_[~better[1:] | (best[1:] != best[:-1]), True])
-            owner = np.searchsorted(start, edge, side="right") - 1
-            # a stretch never crosses runs: the last WINDOW - 1 bytes of a run start no window
-            pieces = [several[owner], edge - start[owner], stop - start[owner], best[edge]]
-        low = least[kind]
-        parts = np.repeat([r["part"] for r in cold], sizes)
-        results.append((parts, keys, low, kind, *pieces))
-    for part in sorted({int(p) for r in results for p in np.unique(r[0])}):
-        for parts, keys, low, kind, *pieces in results:
-            own = np.flatnonzero(parts == part)
-            if not len(own):
-                continue
-            k, index = np.unique(keys[own], return_index=True)
-            own = own[index]
-            at = first = last = least = empty
-            if len(pieces[0]):
-                order = np.argsort(pieces[0], kind="stable")
-                owners = pieces[0][order]
-                a, b = np.searchsorted(owners, kind[own]), np.searchsorted(owners, kind[own], side="right")
-                chosen = order[ranges(a, b - a)]
-                at = np.repeat(np.arange(len(own)), b - a)
-                first, last, least = (p[chosen] for p in pieces[1:])
-            columns = [k.tobytes(), pack(low[own]), pack(at), pack(first), pack(last), pack(least)]
+    for alone, entries in by_stretch(batches):
+        if alone:
+            at, low, _ = settled(entries, hot)
+            kind, pieces = np.zeros(len(at), np.int64), [empty] * 4
+        else:
+            order = np.lexsort((entries["sizes"] == 0, entries["keys"], entries["hashes"]))
+            h, keys = entries["hashes"][order], entries["keys"][order]
+            head = np.r_[True, (h[1:] != h[:-1]) | (keys[1:] != keys[:-1])]
+            one = order[head]
+            begin = np.cumsum(entries["sizes"]) - entries["sizes"]
+            found = list(smaller_windows(entries["hashes"][one], entries["sizes"][one], begin[one], entries["text"], entries["low"][one]))
+            pieces = [np.concatenate(c) for c in zip(*found, strict=True)]
+            kind = np.cumsum(head) - 1
+            needed = np.isin(kind, pieces[0])
+            at, kind = order[needed], kind[needed]
+            low = entries["low"][at]
+        parts, keys = entries["parts"][at], entries["keys"][at]
+        order = np.lexsort((keys, parts))
+        edges = np.flatnonzero(np.r_[True, np.diff(parts[order]) != 0, True]) if len(order) else []
+        by = np.argsort(pieces[0], kind="stable")
+        owners = pieces[0][by]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            own = order[a:b]
+            own = own[np.r_[True, keys[own][1:] != keys[own][:-1]]]
+            x, y = np.searchsorted(owners, kind[own]), np.searchsorted(owners, kind[own], side="right")
+            chosen = by[ranges(x, y - x)]
+            columns = [keys[own].tobytes(), planes(low[own]), pack(np.repeat(np.arange(len(own)), y - x))]
+            columns += [pack(p[chosen]) for p in pieces[1:]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int64()), *(pa.array([c], pa.binary()) for c in columns)],
+                [pa.array([parts[own[0]]], pa.int64()), *(pa.array([c], pa.binary()) for c in columns)],
                 names=["part", "keys", "low", "piece_at", "piece_first", "piece_last", "piece_low"],
             )
 
 
 class Verdicts:
-    """Smallest ids of a part's runs, and the stretches of windows with smaller ones."""
+    """Smallest ids of a part's lone windows, and the stretches of its runs' windows with smaller ones."""
 
     def __init__(self, table: pa.Table | None):
         rows = table.to_pylist() if table is not None else []
@@ -359,22 +409,18 @@ class Verdicts:
         begin = np.cumsum([0, *sizes])
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
         keys = join([hashes_of(r["keys"]) for r in rows], np.uint64)
-        low = join([unpack(r["low"]) for r in rows], np.int64)
+        low = join([unplanes(r["low"], n) for r, n in zip(rows, sizes, strict=True)], np.int64)
         order = np.argsort(keys, kind="stable")
         self.keys, self.low = keys[order], low[order]
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        at = join([unpack(r["piece_at"]) + b for r, b in zip(rows, begin, strict=False)], np.int64)
-        at = rank[at] if len(at) else at.astype(np.int64)
+        at = rank[join([unpack(r["piece_at"]) + b for r, b in zip(rows, begin, strict=False)], np.int64)]
         by = np.argsort(at, kind="stable")
         self.at = at[by]
         self.first, self.last, self.least = (
             join([unpack(r[name]) for r in rows], np.int64)[by] for name in ("piece_first", "piece_last", "piece_low")
         )
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.keys, keys)
-
 
 @functools.lru_cache(maxsize=2)
 def verdicts(path: str, part: int) -> Verdicts:
@@ -389,39 +435,48 @@ emptied_by(verdicts.cache_clear)
 
 def covered_bytes(shared: str, found: str, part: int, ids: np.ndarray, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Whether each byte of a slice lies in a window that a smaller id has."""
-    (_, first, last, row, keys), (start, hot_row, one, _) = shared_runs(shared, part, data, bounds)
-    table = verdicts(found, part)
+    _, keys, first, last, row = runs_with_keys(data, bounds)
+    table, low, state = known(shared, part)
+    answers = verdicts(found, part)
     edge = np.zeros(len(data) + 1, np.int64)
-    if len(keys):
-        at = table.find(keys)
-        whole = table.low[at] < ids[row]
-        np.add.at(edge, first[whole], 1)
-        np.add.at(edge, last[whole] + WINDOW, -1)
-        a, b = np.searchsorted(table.at, at), np.searchsorted(table.at, at, side="right")
-        piece = ranges(a, b - a)
-        run = np.repeat(np.arange(len(at)), b - a)
-        smaller = table.least[piece] < ids[row[run]]
-        piece, run = piece[smaller], run[smaller]
-        np.add.at(edge, first[run] + table.first[piece], 1)
-        np.add.at(edge, first[run] + table.last[piece] + WINDOW, -1)
-    if len(start):
-        gone = table.low[table.find(one)] < ids[hot_row]
-        np.add.at(edge, start[gone], 1)
-        np.add.at(edge, start[gone] + WINDOW, -1)
+
+    def gone(starts: np.ndarray, ends: np.ndarray) -> None:
+        np.add.at(edge, starts, 1)
+        np.add.at(edge, ends + WINDOW, -1)
+
+    at, hit = found_in(table, keys)
+    at, keys, first, last, row = at[hit], keys[hit], first[hit], last[hit], row[hit]
+    whole = low[at] < ids[row]
+    gone(first[whole], last[whole])
+    kind = state[at]
+    mixed = np.flatnonzero((kind == MIXED) | (kind == ASKED))
+    place, hit = found_in(answers.keys, keys[mixed])
+    place, mixed = place[hit], mixed[hit]
+    a, b = np.searchsorted(answers.at, place), np.searchsorted(answers.at, place, side="right")
+    piece, run = ranges(a, b - a), np.repeat(mixed, b - a)
+    smaller = answers.least[piece] < ids[row[run]]
+    piece, run = piece[smaller], run[smaller]
+    gone(first[run] + answers.first[piece], first[run] + answers.last[piece])
+    hot = kind == ALONE
+    if hot.any():
+        start, rows, _, two = lone_windows(data, first[hot], last[hot], row[hot])
+        place, hit = found_in(answers.keys, two)
+        start, rows = start[hit], rows[hit]
+        smaller = answers.low[place[hit]] < ids[rows]
+        gone(start[smaller], start[smaller])
     return np.cumsum(edge[:-1]) > 0
 
 
 def _tables(docs: DataFrame, hot: int) -> tuple[DataFrame, str, str]:
     """Rows with their part, and the stored results of the first two passes."""
-    spark = docs.sparkSession
     rows = with_part(docs)
-    # small partitions: each is unpacked in the memory of one Python worker
-    tasks = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seen = rows.mapInArrow(seen_runs(BUCKETS * tasks), SEEN).repartition(tasks, "bucket")
-    shared = seen.mapInArrow(lambda batches: shared_hashes(batches, hot), "part long, hashes binary, hot binary")
+    size = rows.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    stretches = max(-(-size // STRETCH_BYTES), 2 * docs.sparkSession.sparkContext.defaultParallelism)
+    seen = rows.mapInArrow(seen_runs(stretches), MESSAGE).repartition(stretches, "stretch")
+    shared = seen.mapInArrow(lambda batches: settle(batches, hot), "part long, keys binary, low binary, state binary")
     shared = stored_by_part(shared, "repeat-shared")
-    sent = rows.mapInArrow(sent_runs(shared, BUCKETS * tasks), SENT).repartition(tasks, "bucket")
-    found = stored_by_part(sent.mapInArrow(smallest_ids, FOUND), "repeat-found")
+    sent = rows.mapInArrow(sent_runs(shared, stretches), MESSAGE).repartition(stretches, "stretch")
+    found = stored_by_part(sent.mapInArrow(lambda batches: smallest_ids(batches, hot), FOUND), "repeat-found")
     return rows, shared, found
 
 
