@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import emptied_by, entered, ranges, span_hashes
+from demandloom.llm.common import emptied_by, entered, mix, ranges, span_hashes
 from demandloom.llm.parts import (
     NULL_ID, hashes_of, pack, part_table, planes, slices, stored_by_part, unpack, unplanes, with_part,
 )
@@ -210,8 +210,12 @@ SETTLED, MIXED, ASKED, ALONE = range(4)
 
 
 def runs_with_keys(data: np.ndarray, bounds: np.ndarray):
-    """Upper bits of the minimiser, hash of the bytes, first and last window, and row of every run."""
+    """Mixed minimiser, hash of the bytes, first and last window, and row of every run.
+
+    Minimisers are small numbers, so they are mixed before ranges of them are dealt to tasks.
+    """
     h, first, last, row = runs_of(data, bounds)
+    h = mix(h)
     return h >> np.uint64(64 - HASH_BITS), span_hashes(data, first, last + WINDOW) ^ h, first, last, row
 
 

@@ -121,3 +121,38 @@ def test_maximal_repeats_have_all_occurrences():
         if maximal:
             assert found.pop(text) == (sorted(int(starts[n]) + a for n, a in places), min(n for n, _ in places))
     assert not found
+
+
+@pytest.mark.parametrize("span", [0, 1, 255, 2**33, 2**64 - 1])
+def test_planes_round_trip(span):
+    from demandloom.llm.parts import planes, unplanes
+
+    rng = random.Random(span)
+    values = np.array([rng.randint(0, span) - 2**63 for _ in range(41)], np.int64)
+    packed = planes(values)
+    assert unplanes(packed, 41).tolist() == values.tolist()
+    assert unplanes(packed, 41, 7, 19).tolist() == values[7:19].tolist()
+    assert len(unplanes(planes(values[:0]), 0)) == 0
+
+
+def test_messages_do_not_multiply_with_parts():
+    rng = np.random.default_rng(5)
+    hashes = rng.integers(0, 1 << repeats.HASH_BITS, 6000).astype(np.uint64)
+    box = repeats.Outbox(8, alone=False)
+    for part, own in enumerate(np.split(hashes, 60)):
+        box.add(part * 2**50, own, own ^ np.uint64(7), np.full(len(own), part))
+        box.add(part * 2**50, own[:3], own[:3] ^ np.uint64(7), np.full(3, part + 1))
+    sent = list(box.send())
+    assert sum(b.num_rows for b in sent) == 8
+    entries = [e for _, e in repeats.by_stretch(iter(sent))]
+    got = {name: np.concatenate([e[name] for e in entries]) for name in entries[0]}
+    assert sorted(got["hashes"].tolist()) == sorted(hashes.tolist())
+    assert set(got["parts"].tolist()) == {part * 2**50 for part in range(60)}
+    assert got["many"].sum() == 180 and (got["keys"] == (got["hashes"].astype(np.uint64) ^ np.uint64(7))).all()
+
+
+def test_stretches_of_minimisers_are_even():
+    data = np.random.default_rng(3).integers(97, 123, 200_000).astype(np.uint8)
+    h = repeats.runs_with_keys(data, np.array([0, len(data)]))[0]
+    shares = np.bincount((h >> np.uint64(repeats.HASH_BITS - 3)).astype(np.int64), minlength=8) / len(h)
+    assert 0.11 < shares.min() and shares.max() < 0.14
