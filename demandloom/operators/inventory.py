@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from demandloom.functions.exprs import hash_number, non_negative, text_hash
 from demandloom.operators.sampling import enumerate_rows
 from demandloom.settings import ReplayPolicy
+from demandloom.sources.tables import dropped, staged
 
 # Numbers of a sample that may be broadcast.
 SAMPLE_LIMIT = 20_000_000
@@ -88,10 +89,12 @@ def order_up_to(windows: DataFrame, samples: DataFrame) -> DataFrame:
     broadcast after a check of its size (models x draws x paths blocks, fixed by
     the parameters); the windows are partitioned by Spark and never leave the tasks.
     """
+    samples = staged(samples, "sampled-blocks")  # drawn once, then measured and read
     size = samples.agg(F.sum(F.size("sample") * F.size(F.get("sample", F.lit(0))))).first()[0] or 0
     if size > SAMPLE_LIMIT:
         raise ValueError(f"a sample of {size} numbers is too large to broadcast; use fewer paths or models at a time")
     table = samples.toArrow().to_pydict()
+    dropped(samples)
     drawn = samples.sparkSession.sparkContext.broadcast(
         {
             (model, draw): np.array(sample, dtype=float)

@@ -35,15 +35,14 @@ TREE_LOSSES = {
     "quantile_trees": {"kind": "quantile"},
     "huber_trees": {"kind": "huber"},
 }
-# Values of a column are ranked in slices with the same first letters.
-SLICE_LETTERS = 8
 
 
 def fit_categories(frame: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFrame:
     """(column_name, category, code): alphabetical codes from 0 per column.
 
-    Distinct pairs are found with map-side combination. Values are ranked inside slices that share their first letters
-    and shifted by the number of values in earlier slices, so no task ranks a whole column.
+    Distinct pairs are found with map-side combination and written in ranges of about equal numbers of values, so keys
+    that share a prefix are divided as well. Values are ranked inside their range and shifted by the number of values in
+    earlier ones; no task ranks a whole column. The written copy fixes the ranges for the two passes that read them.
     """
     present = [c for c in columns if c in frame.columns]
     pairs = F.array(
@@ -52,7 +51,8 @@ def fit_categories(frame: DataFrame, columns: Sequence[str] = CATEGORIES) -> Dat
             for c in present
         ]
     )
-    values = frame.select(F.inline(pairs)).distinct().withColumn("_slice", F.substring("category", 1, SLICE_LETTERS))
+    ranged = frame.select(F.inline(pairs)).distinct().repartitionByRange("column_name", "category")
+    values = staged(ranged.withColumn("_slice", F.spark_partition_id()), "category-values")
     slices = values.groupBy("column_name", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("column_name").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = slices.select("column_name", "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))

@@ -290,6 +290,13 @@ def hierarchical_wrmsse(s: Stages) -> DataFrame:
     return hierarchy.hierarchical_wrmsse(s.daily_table(), s.backtests(), s.cfg.backtest_origins)
 
 
+@report
+def infinite_zero_scale(s: Stages) -> DataFrame:
+    """Errors per node where a node without a usable scale counts as infinite unless its forecast is exact."""
+    details = hierarchy.hierarchical_wrmsse(s.daily_table(), s.backtests(), s.cfg.backtest_origins, zero_scale="inf")
+    return details.select("model_name", "fold_origin", "level", "level_name", "node_id", "rmsse")
+
+
 @report
 def wrmsse_scores(s: Stages) -> DataFrame:
     return hierarchy.fold_scores(s.details())

@@ -133,6 +133,14 @@ add("hierarchy_rollup", "SELECT * FROM nodes", "nodes", rounded=["units", "reven
 add("node_scales", "SELECT level, level_name, node_id, fold_origin, scale, node_revenue FROM scales", "scales", rounded=["scale", "node_revenue"])
 add("revenue_weights", "SELECT fold_origin, level, node_id, weight FROM scales", "scales", rounded=["weight"])
 add("hierarchical_wrmsse", "SELECT * FROM details", "details", rounded=["rmsse", "weight", "weighted_rmsse"])
+add("infinite_zero_scale", """
+WITH sums AS (SELECT model_name, fold_origin, level, level_name, node_id, day_num, sum(target) AS t, sum(yhat) AS y
+              FROM backtests JOIN bridge USING (series_id) GROUP BY ALL),
+     errors AS (SELECT model_name, fold_origin, level, level_name, node_id, avg((t - y) * (t - y)) AS mse
+                FROM sums GROUP BY ALL)
+SELECT model_name, fold_origin, level, errors.level_name, node_id,
+       CASE WHEN scale > 0 THEN sqrt(mse / scale) WHEN mse > 0 THEN 'inf'::DOUBLE ELSE 0.0 END AS rmsse
+FROM errors LEFT JOIN scales USING (fold_origin, level, node_id)""", "backtests", "bridge", "scales", rounded=["rmsse"])
 add("wrmsse_scores", "SELECT * FROM scores", "scores", rounded=["wrmsse", "bottom_rmsse"])
 add("bottom_rmsse", "SELECT model_name, avg(bottom_rmsse) AS bottom_rmsse FROM scores GROUP BY ALL", "scores", rounded=["bottom_rmsse"])
 add("series_rmsse", """

@@ -113,6 +113,30 @@ def test_categories_are_alphabetical_and_unseen_is_minus_one(spark):
     assert sorted(map(tuple, scored.collect())) == [(-1.0, 0.0), (1.0, 1.0)]
 
 
+def test_categories_with_one_prefix_are_ranked_in_several_ranges(spark, monkeypatch):
+    from demandloom.operators import learned
+
+    sizes, stage = [], learned.staged
+
+    def watched(frame, label):
+        written = stage(frame, label)
+        sizes.extend(r["count"] for r in written.groupBy("_slice").count().collect())
+        return written
+
+    monkeypatch.setattr(learned, "staged", watched)
+    names = [f"HOUSEHOLD_1_{k * 7919 % 6000:05d}" for k in range(6000)]
+    train = spark.createDataFrame([(n,) for n in names], "item_id string")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        codes = {r["category"]: r["code"] for r in fit_categories(train).collect()}
+    finally:
+        spark.conf.set(coalesce, before)
+    assert codes == {n: float(k) for k, n in enumerate(sorted(names))}
+    assert len(sizes) > 3 and max(sizes) < 3000
+
+
 def test_unknown_learner_is_rejected(spark):
     with pytest.raises(ValueError, match="unknown learner"):
         DirectForecaster("nope")._learner()
