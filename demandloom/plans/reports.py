@@ -19,7 +19,7 @@ from demandloom.operators import (
 from demandloom.plans import jobs
 from demandloom.plans.stages import Stages
 from demandloom.settings import SERIES_KEYS, ReplayPolicy
-from demandloom.sources import retail
+from demandloom.sources import digests, retail
 from demandloom.sources.tables import LINEAGE, read_table, staged, staging_root, stamped, without_lineage, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,35 @@ def source_contract(s: Stages) -> DataFrame:
     return jobs.csv_source_report(s)
 
 
+def customer_files(s: Stages) -> str:
+    """Folder of text files, one line per customer in key order, 500 keys to a file."""
+    folder = f"{staging_root(s.spark)}/customers-{uuid.uuid4().hex}"
+    line = F.concat_ws("|", "c_custkey", "c_name", "c_nationkey", "c_mktsegment").alias("line")
+    lines = s.spark.read.parquet(f"{s.sf_dir}/customer.parquet").select(
+        F.expr("c_custkey div 500").alias("slice"), "c_custkey", line
+    )
+    placed = lines.repartition("slice").sortWithinPartitions("slice", "c_custkey", "line")
+    placed.select("slice", "line").write.partitionBy("slice").text(folder)
+    return folder
+
+
+@report
+def file_block_digests(s: Stages) -> DataFrame:
+    """Size and digest of every customer file, hashed in blocks of 4,096 bytes."""
+    found = digests.file_digests(s.spark, customer_files(s), "*.txt", block_bytes=4096)
+    slice_ = F.regexp_extract("path", r"slice=(\d+)/", 1).cast("bigint").alias("slice")
+    return found.select(slice_, "size_bytes", "sha256")
+
+
+@report
+def source_set_digest(s: Stages) -> DataFrame:
+    """One digest of all customer files as one source, and of them with every file twice."""
+    found = digests.file_digests(s.spark, customer_files(s), "*.txt")
+    copies = F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")
+    both = found.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("times")).select("times", "size_bytes", "sha256", copies)
+    return digests.set_digest(both, ["times"])
+
+
 @report
 def wide_structure(s: Stages) -> DataFrame:
     return jobs.csv_wide_structure(s)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandloom.sources.digests import file_digests, set_digest
+
 # Columns each source file must offer.
 REQUIRED_COLUMNS: dict[str, tuple[str, ...]] = {
     "calendar.csv": ("date", "wm_yr_wk", "d", "event_name_1", "snap_CA"),
@@ -52,36 +54,18 @@ def read_csv_strict(spark: SparkSession, path: str, file_name: str) -> DataFrame
 
 
 def source_digests(spark: SparkSession, root: str) -> DataFrame:
-    """(file, part, size_bytes, sha256) per physical file, hashed by executors.
+    """(file, part, size_bytes, sha256) per physical file, hashed by executors in blocks.
 
-    A source may be one file or a folder of part files. The binary source loads
-    a file as one value, so very large sources should come as part files.
+    A source may be one file of any size or a folder of part files.
     """
-    raw = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .load(root)
-    )
     relative = F.regexp_extract("path", r"([^/]+\.csv)(?:/[^/]*)?$", 1)
-    return raw.select(
-        relative.alias("file"),
-        F.col("path").alias("part"),
-        F.col("length").alias("size_bytes"),
-        F.sha2("content", 256).alias("sha256"),
-    )
+    found = file_digests(spark, root, "*.csv")
+    return found.select(relative.alias("file"), F.col("path").alias("part"), "size_bytes", "sha256")
 
 
 def combined_digests(digests: DataFrame) -> DataFrame:
-    """One checksum per source: the digest itself, or a digest of sorted part digests."""
-    parts = F.array_sort(F.collect_list("sha256"))
-    return digests.groupBy("file").agg(
-        F.sum("size_bytes").alias("size_bytes"),
-        F.count(F.lit(1)).alias("parts"),
-        F.when(F.count(F.lit(1)) == 1, F.first("sha256"))
-        .otherwise(F.sha2(F.array_join(parts, ""), 256))
-        .alias("sha256"),
-    )
+    """One checksum per source: the digest of its only part, or of the set of its parts."""
+    return set_digest(digests, ["file"])
 
 
 def source_report(

@@ -361,3 +361,29 @@ SELECT state_id, year, count(*) AS row_count, sum(units) AS units, sum(count(*))
 FROM daily GROUP BY state_id, year""", "daily", rounded=["units"])
 add("price_backfill", "SELECT model_name, series_id, fold_origin, horizon, unit_price FROM backtests", "backtests", rounded=["unit_price"])
 add("attribution_top", "SELECT * FROM attr_global WHERE rank <= 5", "attr_global", rounded=IMPORTANCE)
+
+# Files of customer lines: blocks are cut from their text, which is ASCII.
+CUSTOMER_FILES = """
+SELECT c_custkey // 500 AS slice,
+       string_agg(concat_ws('|', c_custkey, c_name, c_nationkey, c_mktsegment) || chr(10), '' ORDER BY c_custkey,
+                  concat_ws('|', c_custkey, c_name, c_nationkey, c_mktsegment)) AS content
+FROM customer GROUP BY c_custkey // 500"""
+add("file_block_digests", f"""
+WITH files AS ({CUSTOMER_FILES}),
+blocks AS (SELECT slice, content, unnest(range(0, greatest(length(content), 1), 4096)) AS start FROM files),
+hashed AS (SELECT slice, length(content) AS size_bytes, start, sha256(substring(content, start + 1, 4096)) AS digest FROM blocks)
+SELECT slice, size_bytes, CASE count(*) WHEN 1 THEN min(digest) ELSE sha256(string_agg(digest, '' ORDER BY start)) END AS sha256
+FROM hashed GROUP BY slice, size_bytes""")
+LEVEL = "CASE count(*) WHEN 1 THEN min(digest) ELSE sha256(string_agg(digest, '' ORDER BY prefix)) END AS digest"
+add("source_set_digest", f"""
+WITH files AS ({CUSTOMER_FILES}),
+leaves AS (
+    SELECT times, sha256(content) AS prefix, count(*) * times AS parts, sum(length(content)) * times AS size_bytes
+    FROM files, (VALUES (1), (2)) t(times) GROUP BY times, sha256(content)),
+marked AS (SELECT times, prefix, parts, size_bytes, CASE parts WHEN 1 THEN prefix ELSE sha256(prefix || ':' || parts) END AS digest FROM leaves),
+six AS (SELECT times, left(prefix, 6) AS shorter, sum(parts) AS parts, sum(size_bytes) AS size_bytes, {LEVEL}
+    FROM marked GROUP BY times, left(prefix, 6)),
+three AS (SELECT times, left(prefix, 3) AS shorter, sum(parts) AS parts, sum(size_bytes) AS size_bytes, {LEVEL}
+    FROM (SELECT * RENAME (shorter AS prefix) FROM six) GROUP BY times, left(prefix, 3))
+SELECT times::INT AS times, sum(size_bytes)::BIGINT AS size_bytes, sum(parts)::BIGINT AS parts, {LEVEL.replace(' AS digest', ' AS sha256')}
+FROM (SELECT * RENAME (shorter AS prefix) FROM three) GROUP BY times""")
