@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.exprs import clamp, non_negative
-from demandloom.operators.quantiles import exact_quantiles
+from demandloom.operators.quantiles import exact_quantiles, exact_quantiles_by_weight
 from demandloom.settings import SERIES_KEYS, Settings
 
 CONTRACT = (
@@ -17,6 +17,7 @@ CONTRACT = (
 )
 BASELINES = ("seasonal_naive", "moving_average")
 FORECAST_KEYS = ("model_name", "fold_origin")
+OFFSETS = {"o05": 0.05, "o50": 0.5, "o95": 0.95}
 
 
 def seasonal_naive() -> Column:
@@ -84,9 +85,25 @@ def residual_tally(points: DataFrame, keys: Sequence[str]) -> DataFrame:
     return points.select(*keys, "horizon", residual).groupBy(*keys, "horizon", "residual").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def fold_residuals(points: DataFrame, folds: Sequence[int]) -> DataFrame:
-    """Residual tally of every model and fold, each from the rows known at the fold's origin."""
-    return training_rows(residual_tally(points, ["model_name", "origin_day"]), folds)
+def fold_calibration(points: DataFrame, folds: Sequence[int]) -> DataFrame:
+    """Calibration of every model and fold, each from the rows known at the fold's origin.
+
+    Folds are columns that count rows, not copies of rows; one ordered pass per model and horizon serves all of them.
+    """
+    known_by = F.col("origin_day") + F.col("horizon")
+    known = {f: ((F.col("origin_day") < f) & (known_by <= f)).cast("int") for f in folds}
+    newest = max(folds)
+    usable = points.where((F.col("origin_day") < newest) & (known_by <= newest))
+    # Horizon 0 stands for all horizons; every row counts once in each.
+    rows = usable.select(
+        "model_name",
+        (F.col("target") - F.col("yhat")).alias("residual"),
+        *[c.alias(f"known_{f}") for f, c in known.items()],
+        F.explode(F.array(F.col("horizon"), F.lit(0))).alias("horizon"),
+    )
+    weights = {f: f"known_{f}" for f in folds}
+    offsets = exact_quantiles_by_weight(rows, ["model_name", "horizon"], "residual", OFFSETS, weights, "fold_origin")
+    return offsets.select(*FORECAST_KEYS, F.when(F.col("horizon") != 0, F.col("horizon")).alias("horizon"), *OFFSETS)
 
 
 def fit_calibration(residuals: DataFrame, by: Sequence[str] = FORECAST_KEYS) -> DataFrame:
@@ -98,8 +115,7 @@ def fit_calibration(residuals: DataFrame, by: Sequence[str] = FORECAST_KEYS) ->
     tally = residuals if "rows" in residuals.columns else residual_tally(residuals, by)
     # Horizon 0 stands for all horizons; every row counts once in each.
     both = tally.select(*by, F.explode(F.array(F.col("horizon"), F.lit(0))).alias("horizon"), "residual", "rows")
-    levels = {"o05": 0.05, "o50": 0.5, "o95": 0.95}
-    offsets = exact_quantiles(both, [*by, "horizon"], "residual", levels, weight="rows")
+    offsets = exact_quantiles(both, [*by, "horizon"], "residual", OFFSETS, weight="rows")
     return offsets.withColumn("horizon", F.when(F.col("horizon") != 0, F.col("horizon")))
 
 
@@ -147,7 +163,7 @@ def backtest_contract(*frames: DataFrame) -> DataFrame:
 def backtest_baselines(features: DataFrame, cfg: Settings, models: Sequence[str] = BASELINES) -> DataFrame:
     """All baselines over all folds in one plan: the fold is a column, not a loop."""
     points = baseline_points(features, models)
-    calibration = fit_calibration(fold_residuals(points, cfg.backtest_origins))
+    calibration = fold_calibration(points, cfg.backtest_origins)
     evaluated = evaluation_rows(points, cfg.backtest_origins)
     return backtest_contract(apply_calibration(evaluated, calibration))
 

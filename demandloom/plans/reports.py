@@ -359,7 +359,7 @@ def moving_average(s: Stages) -> DataFrame:
 @report
 def residual_calibration(s: Stages) -> DataFrame:
     points = baselines.baseline_points(s.training())
-    return baselines.fit_calibration(baselines.fold_residuals(points, s.cfg.backtest_origins))
+    return baselines.fold_calibration(points, s.cfg.backtest_origins)
 
 
 @report

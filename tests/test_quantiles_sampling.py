@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandloom.operators import sampling
-from demandloom.operators.quantiles import exact_quantiles
+from demandloom.operators.quantiles import exact_quantiles, exact_quantiles_by_weight
 
 
 def make(spark, seed=3):
@@ -66,3 +66,23 @@ def test_fraction_and_fixed_samples_do_not_depend_on_partitioning(spark):
     assert a == b and 300 < len(a) < 500
     c = {r["id"] for r in sampling.sample_rows(frame, ["id"], 100, 1).collect()}
     assert len(c) == 100 and c == {r["id"] for r in sampling.sample_rows(frame.repartition(6), ["id"], 100, 1).collect()}
+
+
+@pytest.mark.parametrize("discrete", [True, False])
+def test_several_weights_share_a_pass_and_equal_copies_of_rows(spark, discrete):
+    generator = random.Random(5)
+    rows = [(g, round(generator.gauss(0, 3), 1), generator.randrange(3), int(g == "b"), 0) for g in "ab" for _ in range(900)]
+    frame = spark.createDataFrame([*rows, ("a", None, 9, 9, 9)], "g string, v double, w1 int, w2 int, w3 int")
+    levels = {"q05": 0.05, "q50": 0.5, "q95": 0.95}
+    weights = {10: "w1", 20: "w2", 30: "w3"}
+    got = exact_quantiles_by_weight(frame, ["g"], "v", levels, weights, "fold", discrete=discrete).collect()
+    expected = {}
+    for k, fold in enumerate(weights):
+        for g in "ab":
+            copied = np.repeat([r[1] for r in rows if r[0] == g], [r[2 + k] for r in rows if r[0] == g])
+            if len(copied):
+                method = "inverted_cdf" if discrete else "linear"
+                expected[g, fold] = [float(np.quantile(copied, q, method=method)) for q in levels.values()]
+    assert {(r["g"], r["fold"]) for r in got} == set(expected) and len(got) == 3
+    for r in got:
+        assert [r[q] for q in levels] == pytest.approx(expected[r["g"], r["fold"]])
