@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPLITS = 64
+#: Values per group, at most, that place the cuts between slices.
+DRAWN = 2048
 
 
 def exact_quantiles(
@@ -29,7 +31,8 @@ def exact_quantiles(
     of about equal numbers of distinct values, and only the slices that contain a
     wanted rank are ordered. A group may hold any share of the rows. Nothing runs
     before the result is asked for, and no join is told to broadcast: the size of
-    the per-group tables decides.
+    the per-group tables decides. The plan cuts the values twice, so the cuts depend
+    on the values alone, never on the order in which tasks are merged.
     """
     copies = F.count(F.lit(1)) if weight is None else F.sum(weight)
     found = _quantiles(_tallied(frame, keys, value, [copies]), list(keys), levels, 1, discrete)
@@ -71,11 +74,16 @@ def _tallied(frame: DataFrame, keys: Sequence[str], value: str, counts: Sequence
 def _quantiles(tallied: DataFrame, keys: list[str], levels: dict[str, float], counts: int, discrete: bool) -> DataFrame:
     """One row per group; column ``_q{k}_{level}`` holds the quantile under count k, null if it has no rows."""
     n, total, start = ([f"{name}{k}" for k in range(counts)] for name in ("_n", "_total", "_start"))
-    cuts = tallied.groupBy(*keys).agg(
-        F.percentile_approx("_v", [i / SPLITS for i in range(1, SPLITS)], 10000).alias("_cuts"),
-        *[F.sum(a).alias(t) for a, t in zip(n, total)],
+    # The value of the lowest hash in each of DRAWN hash buckets: spread like the values, and the same in every run.
+    digest = F.xxhash64("_v")
+    buckets = tallied.groupBy(*keys, F.pmod(digest, F.lit(DRAWN)).alias("_bucket")).agg(
+        F.min(F.struct(digest.alias("_digest"), "_v")).alias("_first"), *[F.sum(a).alias(a) for a in n]
     )
-    sliced = _attach(tallied, cuts, keys).select(
+    drawn = F.sort_array(F.collect_list("_first._v"))
+    cuts = buckets.groupBy(*keys).agg(drawn.alias("_drawn"), *[F.sum(a).alias(t) for a, t in zip(n, total)])
+    at = F.array(*[F.lit(i) for i in range(1, SPLITS)])
+    cut = F.transform(at, lambda i: F.get("_drawn", F.floor(i * F.size("_drawn") / SPLITS).cast("int")))
+    sliced = _attach(tallied, cuts.select(*keys, cut.alias("_cuts"), *total), keys).select(
         *keys, "_v", *n, *total, F.size(F.filter("_cuts", lambda c: c <= F.col("_v"))).alias("_slice")
     )
     # At most SPLITS rows per group from here on, until the slices are revisited.

@@ -86,3 +86,18 @@ def test_several_weights_share_a_pass_and_equal_copies_of_rows(spark, discrete):
     assert {(r["g"], r["fold"]) for r in got} == set(expected) and len(got) == 3
     for r in got:
         assert [r[q] for q in levels] == pytest.approx(expected[r["g"], r["fold"]])
+
+
+@pytest.mark.parametrize("discrete", [True, False])
+def test_quantiles_of_many_distinct_values_do_not_depend_on_the_merge_order(spark, discrete):
+    # more distinct values than an approximate percentile tells apart, in partitions of mixed order
+    value = F.pmod(F.xxhash64("id"), F.lit(100_003)).cast("double")
+    frame = spark.range(0, 400_000, 1, 13).select(value.alias("v"), F.lit(1).alias("w1"), (F.col("id") % 3).cast("int").alias("w2"))
+    levels = {"q05": 0.05, "q50": 0.5, "q95": 0.95}
+    data = frame.toPandas()
+    method = "inverted_cdf" if discrete else "linear"
+    got = exact_quantiles_by_weight(frame, [], "v", levels, {1: "w1", 2: "w2"}, "k", discrete=discrete).collect()
+    assert len(got) == 2
+    for r in got:
+        copied = np.repeat(data["v"].to_numpy(), data[f"w{r['k']}"].to_numpy())
+        assert [r[q] for q in levels] == pytest.approx([float(np.quantile(copied, q, method=method)) for q in levels.values()])
