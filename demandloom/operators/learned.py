@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandloom.functions.exprs import floored, non_negative
@@ -28,6 +32,9 @@ from demandloom.sources.tables import dropped, staged
 CATEGORIES = ("item_id", "dept_id", "cat_id", "store_id", "state_id", "target_event_type")
 NOT_FEATURES = ("series_id", "origin_date", "target_date", "target", "_run_id")
 MISSING = "__missing__"
+#: Fits that run at the same time.
+FITS_AT_ONCE = 4
+Found = TypeVar("Found")
 # Boosted trees by name, and the loss of each; parameters may change power, level and delta.
 TREE_LOSSES = {
     "tweedie_trees": {"kind": "tweedie"},
@@ -37,6 +44,17 @@ TREE_LOSSES = {
 }
 
 
+def side_by_side(calls: Sequence[Callable[[], Found]]) -> list[Found]:
+    """Results of independent calls in their order, up to FITS_AT_ONCE of them under way.
+
+    A fit is a chain of short jobs, each waiting for the one before, which leaves most cores idle; several chains share them.
+    Their inputs have to be staged before.
+    """
+    carried = inheritable_thread_target(SparkSession.active())
+    with ThreadPool(max(1, min(FITS_AT_ONCE, len(calls)))) as pool:
+        return pool.map(lambda call: call(), [carried(call) for call in calls], chunksize=1)
+
+
 def fit_categories(frame: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFrame:
     """(column_name, category, code): alphabetical codes from 0 per column.
 
@@ -281,6 +299,12 @@ def _sampled(frame: DataFrame, keys: Sequence[str], fraction: float, seed: int,
     return sample
 
 
+def weighted_miss(scored: DataFrame) -> float:
+    """WAPE of (target, yhat)."""
+    miss = F.sum(F.abs(F.col("yhat") - F.col("target"))) / floored(F.sum(F.abs("target")))
+    return float(scored.agg(miss.alias("wape")).first()["wape"])
+
+
 def search_parameters(
     train: DataFrame, kind: str, fraction: float, seed: int, grid: Sequence[Mapping[str, object]] | None = None
 ) -> tuple[dict[str, object], DataFrame]:
@@ -293,11 +317,15 @@ def search_parameters(
     fit_rows, judge_rows = validation_split(train)
     fit_rows = _sampled(fit_rows, keys, fraction, seed, "search-fit")
     judge_rows = _sampled(judge_rows, keys, fraction, seed, "search-judge")
-    results = []
-    for number, candidate in enumerate(grid if grid is not None else SEARCH_GRID[kind]):
-        scored = DirectForecaster(kind, candidate, seed).fit_model(fit_rows).points(judge_rows)
-        miss = F.sum(F.abs(F.col("yhat") - F.col("target"))) / floored(F.sum(F.abs("target")))
-        results.append((number, dict(candidate), float(scored.agg(miss.alias("wape")).first()["wape"])))
+    dictionary = staged(fit_categories(fit_rows), "categories")
+
+    def error(candidate: Mapping[str, object]) -> float:
+        fitted = DirectForecaster(kind, candidate, seed, dictionary=dictionary).fit_model(fit_rows)
+        return weighted_miss(fitted.points(judge_rows))
+
+    tried = list(grid if grid is not None else SEARCH_GRID[kind])
+    errors = side_by_side([functools.partial(error, candidate) for candidate in tried])
+    results = [(n, dict(candidate), e) for n, (candidate, e) in enumerate(zip(tried, errors, strict=True))]
     best = min(results, key=lambda r: (r[2], r[0]))
     table = train.sparkSession.createDataFrame(
         [(kind, n, {k: str(v) for k, v in p.items()}, w, n == best[0]) for n, p, w in results],
@@ -372,11 +400,13 @@ def halving_search(
     plan = rungs(trials, keep, fraction)
     for rung, (_, share) in enumerate(plan):
         sample = fit_rows if share >= 1 else _sampled(fit_rows, keys, share, seed, "halving")
-        size, errors = sample.count(), {}
-        for n in alive:
-            scored = DirectForecaster(kind, drawn[n], seed, dictionary=dictionary).fit_model(sample).points(judge_rows)
-            miss = F.sum(F.abs(F.col("yhat") - F.col("target"))) / floored(F.sum(F.abs("target")))
-            errors[n] = float(scored.agg(miss.alias("wape")).first()["wape"])
+        size = sample.count()
+
+        def error(n: int, sample: DataFrame = sample) -> float:
+            fitted = DirectForecaster(kind, drawn[n], seed, dictionary=dictionary).fit_model(sample)
+            return weighted_miss(fitted.points(judge_rows))
+
+        errors = dict(zip(alive, side_by_side([functools.partial(error, n) for n in alive]), strict=True))
         best = sorted(alive, key=lambda n: (errors[n], n))
         stay = best[: plan[rung + 1][0] if rung + 1 < len(plan) else 1]
         results += [(rung, n, {k: str(v) for k, v in drawn[n].items()}, share, size, errors[n], n in stay) for n in alive]
@@ -425,10 +455,12 @@ def compare_objectives(
     """
     fit_rows, validation = validation_split(train)
     dictionary = staged(fit_categories(fit_rows), "categories")
-    rows = []
-    for name, (kind, params) in variants.items():
+
+    def row(name: str, kind: str, params: Mapping[str, object]) -> tuple[object, ...]:
         model = DirectForecaster(kind, params, seed, dictionary=dictionary).fit_model(fit_rows)
-        rows.append((name, *adjusted_errors(model.points(validation), model.points(evaluation))))
+        return (name, *adjusted_errors(model.points(validation), model.points(evaluation)))
+
+    rows = side_by_side([functools.partial(row, name, *variant) for name, variant in variants.items()])
     return train.sparkSession.createDataFrame(rows, f"variant string, {ERROR_SCHEMA}")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import threading
 
 import numpy as np
 import pytest
@@ -196,3 +197,32 @@ def test_errors_of_blend_and_cuts(spark):
     assert scale == pytest.approx(0.55) and abs(fair_bias) <= 0.05 and fair == pytest.approx((7.5 + 14.85) / 200)
     assert threshold == pytest.approx(1.0) and cut_scale == pytest.approx(0.6)
     assert cut == pytest.approx(0.05) and cut_bias == pytest.approx(0.05)
+
+
+def test_fits_of_a_search_run_side_by_side(spark, panel, small, monkeypatch):
+    from demandloom.operators.features import build_direct_features
+
+    daily, days = panel
+    train = build_direct_features(daily, days, small).where("origin_day < 54 AND origin_day + horizon <= 54")
+    plain = learned.DirectForecaster.fit_model
+    lock, under_way, most = threading.Lock(), [], []
+
+    def watched(self, frame):
+        with lock:
+            under_way.append(1)
+            most.append(len(under_way))
+        try:
+            return plain(self, frame)
+        finally:
+            with lock:
+                under_way.pop()
+
+    monkeypatch.setattr(learned.DirectForecaster, "fit_model", watched)
+    space = {"rounds": learned.Span(1, 1, whole=True), "depth": learned.Span(1, 2, whole=True)}
+    together = learned.halving_search(train, "tweedie_trees", 2, 5, keep=2, space=space)
+    assert max(most) == 2
+    monkeypatch.setattr(learned, "FITS_AT_ONCE", 1)
+    most.clear()
+    alone = learned.halving_search(train, "tweedie_trees", 2, 5, keep=2, space=space)
+    assert max(most) == 1 and together[0] == alone[0]
+    assert sorted(map(str, together[1].collect())) == sorted(map(str, alone[1].collect()))
