@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
@@ -730,7 +730,8 @@ FOLD_MODELS = ("tweedie", "gbt", "tweedie_trees")
 
 def _fold_points(s: Stages) -> DataFrame:
     """Forecasts of the newest fold by the learned models and the baselines."""
-    frames = [_learned_fold(s, kind) for kind in FOLD_MODELS]
+    s.training()  # staged once, before the fits that read it
+    frames = learned.side_by_side([partial(_learned_fold, s, kind) for kind in FOLD_MODELS])
     return reduce(DataFrame.unionByName, frames, s.backtests().where(F.col("fold_origin") == max(s.cfg.backtest_origins)))
 
 
