@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import itertools
 import random
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
@@ -13,7 +14,7 @@ from typing import TypeVar
 import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
@@ -27,7 +28,7 @@ from demandloom.operators.baselines import apply_calibration, fit_calibration, l
 from demandloom.operators.boosting import BoostedModel, Booster, Loss
 from demandloom.operators.sampling import sample_fraction
 from demandloom.settings import SERIES_KEYS
-from demandloom.sources.tables import dropped, staged
+from demandloom.sources.tables import dropped, staged, staging_root
 
 CATEGORIES = ("item_id", "dept_id", "cat_id", "store_id", "state_id", "target_event_type")
 NOT_FEATURES = ("series_id", "origin_date", "target_date", "target", "_run_id")
@@ -420,12 +421,24 @@ def halving_search(
     return drawn[alive[0]], table
 
 
+def without_summary(model: LogisticRegressionModel, spark: SparkSession) -> LogisticRegressionModel:
+    """The fitted model as stored and read back.
+
+    The summary of its training holds the session and goes to every task with the model; a session that has observed a write
+    or carries a tag cannot be sent.
+    """
+    path = f"{staging_root(spark)}/model-{uuid.uuid4().hex}"
+    model.write().save(path)
+    return LogisticRegressionModel.load(path)
+
+
 def hurdle_forecast(fit_rows: DataFrame, scoring: DataFrame, seed: int = 42) -> DataFrame:
     """Probability of a sale times the expected amount given a sale."""
     amount = DirectForecaster("poisson", seed=seed).fit_model(fit_rows.where(F.col("target") > 0))
     shape = DirectForecaster("poisson", seed=seed, features=amount.features, dictionary=staged(fit_categories(fit_rows), "hurdle"))
     labelled = shape.vectors(fit_rows).select("features", (F.col("target") > 0).cast("double").alias("label"))
     chance = LogisticRegression(regParam=0.01, maxIter=25, probabilityCol="_chance").fit(staged(labelled, "hurdle-fit"))
+    chance = without_summary(chance, fit_rows.sparkSession)
     keys = ["series_id", "origin_day", "horizon"]
     sold = chance.transform(shape.vectors(scoring)).select(
         *keys, vector_to_array("_chance").getItem(1).alias("sale_probability")

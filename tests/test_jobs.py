@@ -3,10 +3,13 @@ from __future__ import annotations
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from demandloom.operators import contracts
-from demandloom.operators.learned import DirectForecaster, encode_categories, fit_categories, load_forecaster, save_forecaster
+from demandloom.operators.learned import (
+    DirectForecaster, encode_categories, fit_categories, hurdle_forecast, load_forecaster, save_forecaster,
+)
 from demandloom.plans import jobs
 from demandloom.settings import ReplayPolicy
 from demandloom.sources import files
@@ -140,3 +143,26 @@ def test_categories_with_one_prefix_are_ranked_in_several_ranges(spark, monkeypa
 def test_unknown_learner_is_rejected(spark):
     with pytest.raises(ValueError, match="unknown learner"):
         DirectForecaster("nope")._learner()
+
+
+def test_hurdle_scores_in_a_session_that_observed_a_write_and_is_tagged(spark, panel, small, tmp_path):
+    from demandloom.operators.features import build_direct_features
+
+    daily, days = panel
+    build_direct_features(daily, days, small).write.parquet(str(tmp_path / "rows"))
+
+    def forecasts(session):
+        rows = session.read.parquet(str(tmp_path / "rows"))
+        keys = ["series_id", "origin_day", "horizon"]
+        found = hurdle_forecast(rows.where("origin_day < 54"), rows.where("origin_day = 54"))
+        return [tuple(r) for r in found.orderBy(*keys).select(*keys, "sale_probability", "sale_amount", "yhat").collect()]
+
+    plain = forecasts(spark.newSession())
+    used, seen = spark.newSession(), Observation()
+    used.range(5).observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(str(tmp_path / "observed"))
+    assert seen.get == {"rows": 5}
+    used.addTag("nightly")
+    assert len(plain) == 12 and all(0 <= r[3] <= 1 and r[5] == pytest.approx(r[3] * r[4]) for r in plain)
+    found = forecasts(used)
+    assert [r[:3] for r in found] == [r[:3] for r in plain]
+    assert [r[3:] for r in found] == [pytest.approx(r[3:], rel=1e-6) for r in plain]
